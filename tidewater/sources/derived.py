@@ -39,6 +39,12 @@ SELECT event_id AS query_id,
 FROM {events}
 """
 
+# market(date, close): one daily series over all orders (no partition column)
+MARKET_SQL = """
+SELECT CAST(o_orderdate AS DATE) AS date, MAX(o_totalprice) AS close
+FROM {orders} GROUP BY CAST(o_orderdate AS DATE)
+"""
+
 # trips(pickup_datetime, trip_duration)
 TRIPS_SQL = "SELECT ts AS pickup_datetime, value AS trip_duration FROM {events}"
 
@@ -47,6 +53,7 @@ RUN_PARTS_SQL = "SELECT user_id AS run_id, COUNT(*) AS records_count FROM {event
 
 SHAPES = {
     "stock": (STOCK_SQL, ("orders",)),
+    "market": (MARKET_SQL, ("orders",)),
     "query_log": (QUERY_LOG_SQL, ("events",)),
     "trips": (TRIPS_SQL, ("events",)),
     "run_parts": (RUN_PARTS_SQL, ("events",)),
@@ -68,6 +75,10 @@ def stock(spark, sf_dir):
     return shape(spark, sf_dir, "stock")
 
 
+def market(spark, sf_dir):
+    return shape(spark, sf_dir, "market")
+
+
 def query_log(spark, sf_dir):
     return shape(spark, sf_dir, "query_log")
 
