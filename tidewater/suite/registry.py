@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["relational", "features"]
+MODULES = ["relational", "features", "profiling"]
 
 
 def _modules():
