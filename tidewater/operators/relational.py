@@ -231,13 +231,17 @@ def pair_successors(df: DataFrame, scope: Sequence[str], order_col: str, id_col:
     with its size.  Pair (a, b) belongs to the relation iff they share the scope
     and ``a.pos < b.pos``.  Positions come from the skew-safe ``ordinal_within``.
     """
+    scope = list(scope)
     pos = ordinal_within(df, scope, [order_col, id_col], out="pos")
-    sizes = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("scope_size"))
-    nxt = pos.select(*scope, F.col("pos").alias("_tw_p"), F.col(id_col).alias("next_id"))
-    j = (pos.join(sizes, [pos[c].eqNullSafe(sizes[c]) for c in scope])
-         .drop(*[sizes[c] for c in scope]))
-    j = (j.join(nxt, [j[c].eqNullSafe(nxt[c]) for c in scope] + [j["pos"] + 1 == nxt["_tw_p"]],
-                "left").drop(*[nxt[c] for c in scope]).drop("_tw_p"))
+    sizes = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("scope_size")).select(
+        *[F.col(c).alias(f"_tw_z_{i}") for i, c in enumerate(scope)], "scope_size")
+    nxt = pos.select(*[F.col(c).alias(f"_tw_x_{i}") for i, c in enumerate(scope)],
+                     (F.col("pos") - 1).alias("_tw_p"), F.col(id_col).alias("next_id"))
+    j = pos.join(sizes, [pos[c].eqNullSafe(sizes[f"_tw_z_{i}"]) for i, c in enumerate(scope)])
+    j = j.join(nxt, [j[c].eqNullSafe(nxt[f"_tw_x_{i}"]) for i, c in enumerate(scope)]
+               + [j["pos"] == nxt["_tw_p"]], "left")
+    j = j.drop("_tw_p", *[f"_tw_z_{i}" for i in range(len(scope))],
+               *[f"_tw_x_{i}" for i in range(len(scope))])
     return j.withColumn("n_successors", F.col("scope_size") - F.col("pos"))
 
 

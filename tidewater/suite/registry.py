@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["relational", "features", "profiling"]
+MODULES = ["relational", "features", "profiling", "querylog"]
 
 
 def _modules():
