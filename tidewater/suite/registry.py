@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["relational", "features", "profiling", "querylog"]
+MODULES = ["relational", "features", "profiling", "querylog", "text"]
 
 
 def _modules():
