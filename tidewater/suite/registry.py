@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["relational", "features", "profiling", "querylog", "text", "streaming"]
+MODULES = ["relational", "features", "profiling", "querylog", "text", "streaming", "sources"]
 
 
 def _modules():
