@@ -226,3 +226,12 @@ def _f12(spark, sf):
 def _f13(spark, sf):
     t = tables(spark, sf)
     return FT.tag_completeness(t.documents.select("doc_id"), t.labels, "doc_id", ["quality", "toxic"])
+
+
+@reg("isolation_forest")
+def _f10(spark, sf):
+    from ..operators.anomaly import isolation_forest_fit, isolation_forest_score
+    ev = tables(spark, sf).events.select("event_id", "value", F.hour("ts").alias("hour_of_day"), "user_id")
+    cols = ["value", "hour_of_day", "user_id"]
+    forest = isolation_forest_fit(ev, cols, "event_id", trees=50, sample=256, seed=42)
+    return rounded(isolation_forest_score(ev, forest, cols, "event_id", sample=256))
