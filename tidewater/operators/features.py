@@ -253,6 +253,10 @@ def contamination_flags(df: DataFrame, score: str, key: Sequence[str], rate: flo
     the whole table confirm the bracket, and only the rows inside the bracket
     (a bounded, checked number) are ranked exactly.  NULL scores are never
     flagged."""
+    from ..session import materialise
+    # several exact passes follow: materialise the scored input once (a Parquet
+    # table in the shared checkpoint folder) instead of recomputing it per pass
+    df = materialise(df, "contamination_input")
     scored = df.filter(F.col(score).isNotNull())
     n = scored.count()
     k = math.ceil(rate * n)

@@ -288,35 +288,56 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_PATTERN), 0)
 
 
-def bm25_index(docs: DataFrame, id_col: str, text_col: str, attrs: Sequence[str] = ()):
-    """T8 index: postings (term, doc, tf), per-document length and attributes, and
-    the collection statistics (N, average length) as one-row table."""
-    d = docs.select(id_col, *attrs, tokens(text_col).alias("_tw_t"))
-    doc_stats = d.select(id_col, *attrs, F.size("_tw_t").alias("dl"))
-    postings = (d.select(id_col, F.explode("_tw_t").alias("term"))
-                .groupBy("term", id_col).agg(F.count(F.lit(1)).alias("tf")))
-    coll = doc_stats.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    return postings, doc_stats, coll
+def bm25_index(docs: DataFrame, id_col: str, text_col: str, attrs: Sequence[str] = (),
+               n_partitions: int | None = None, materialise: bool = True):  # noqa: C901
+    """T8 index: document-partitioned postings ``(doc, attrs..., dl, term, tf)`` and
+    the collection statistics (N, average length) as a one-row table.
+
+    Texts are shuffled once by document id and tokenised once; term counts are
+    then computed inside each partition (the grouping keys include the
+    partitioning key, so no shuffle of tokens).  The index is a built artifact:
+    with ``materialise`` it is written as Parquet into the shared checkpoint
+    folder, so searches read it without re-tokenising."""
+    from ..session import materialise as materialise_
+    spark = docs.sparkSession
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = docs.select(id_col, *attrs, text_col).repartition(n, id_col)
+    toks = d.select(id_col, *attrs, tokens(text_col).alias("_tw_t"))
+    postings = (toks.select(id_col, *attrs, F.size("_tw_t").cast("long").alias("dl"),
+                            F.explode("_tw_t").alias("term"))
+                .groupBy(id_col, *attrs, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+    if materialise:
+        postings = materialise_(postings, "bm25_postings")
+    n_docs = docs.select(id_col).count()
+    total = postings.agg(F.sum("tf")).first()[0] or 0
+    coll = spark.createDataFrame([(n_docs, (total / n_docs) if n_docs else 0.0)], "n_docs long, avgdl double")
+    return postings, coll
 
 
 def bm25_search(index, queries: DataFrame, qid_col: str, qtext_col: str, id_col: str,
-                k: int = 10, where: Column | None = None, salt: int = 64) -> DataFrame:
+                k: int = 10, where: Column | None = None, salt: int = 64,
+                max_query_terms: int = 2_000_000) -> DataFrame:
     """BM25 ranking (k1 = 1.2, b = 0.75, idf = ln(1 + (N - df + .5)/(df + .5)))
-    with an equality filter applied to candidates first, top ``k`` per query,
-    ties by id.  The top-k is taken in two exact steps (per (query, id-salt),
-    then per query) so a query matching every document never ranks them all
-    in one task."""
-    postings, doc_stats, coll = index
+    with an attribute filter applied to the postings first, top ``k`` per query,
+    ties by id.
+
+    The query terms (bounded by the request batch, checked) are broadcast to
+    the document-partitioned postings, so the per-(query, doc) sums need no
+    shuffle of postings; the top-k is then taken in two exact steps (per
+    (query, id-salt), then per query) so a query matching every document never
+    ranks them all in one task."""
+    from ..plans.broadcast import bounded_broadcast
+    postings, coll = index
     n_docs, avgdl = coll.first()  # one row of collection statistics
-    avgdl = avgdl or 0.0
     df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    q = queries.select(qid_col, F.explode(F.array_distinct(tokens(qtext_col))).alias("term"))
-    cand_docs = doc_stats if where is None else doc_stats.filter(where)
+    qt = queries.select(qid_col, F.explode(F.array_distinct(tokens(qtext_col))).alias("term"))
     idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl") / F.lit(float(avgdl or 1.0)))
-    contrib = idf * F.col("tf") * F.lit(BM25_K1 + 1) / norm
-    j = (q.join(df_t, "term").join(postings, "term")
-         .join(cand_docs.select(id_col, "dl"), id_col))
+    qterms = qt.join(df_t, "term").select(qid_col, "term", idf.alias("idf"))
+    cand = postings if where is None else postings.filter(where)
+    norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl")
+                                           / F.lit(float(avgdl or 1.0)))
+    contrib = F.col("idf") * F.col("tf") * F.lit(BM25_K1 + 1) / norm
+    j = cand.join(bounded_broadcast(qterms, max_query_terms), "term")
     scores = j.groupBy(qid_col, id_col).agg(F.round(F.sum(contrib), 6).alias("score"))
     w1 = Window.partitionBy(qid_col, F.pmod(F.col(id_col), F.lit(salt))).orderBy(F.col("score").desc(), id_col)
     pre = scores.withColumn("_tw_r", F.row_number().over(w1)).filter(F.col("_tw_r") <= k).drop("_tw_r")

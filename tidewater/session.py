@@ -62,6 +62,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it
+    back: cuts the lineage (survives executor loss) and later passes scan
+    columnar files instead of recomputing the plan."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"tables/{name}/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
