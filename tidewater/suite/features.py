@@ -79,11 +79,14 @@ def _w6(spark, sf):
 W7 = "SELECT ticker, date, close, STDDEV_SAMP(close) OVER (PARTITION BY ticker ORDER BY date) AS rolling_stddev FROM stock"
 
 
-@reg("cumulative_std", with_shapes(f"SELECT ticker, date, close, ROUND(rolling_stddev, 6) AS "
+# cumulative deviations of prices (~1e5) are compared to 4 places (10 significant
+# digits): two engines' running-variance algorithms agree to ~1e-12 relative only
+@reg("cumulative_std", with_shapes(f"SELECT ticker, date, close, ROUND(rolling_stddev, 4) AS "
                                    f"rolling_stddev FROM ({W7})", "stock"))
 def _w7(spark, sf):
     s = derived.stock(spark, sf).select("ticker", "date", "close")
-    return rounded(FT.cumulative_std(s, "close", partition=["ticker"]))
+    out = FT.cumulative_std(s, "close", partition=["ticker"])
+    return rounded(out.withColumn("rolling_stddev", F.round("rolling_stddev", 4)))
 
 
 F2 = """SELECT date, close, lag_5_days, std_dev,
@@ -127,10 +130,11 @@ F4 = f"""SELECT a.ticker, a.date, a.close, a.rolling_avg, b.rolling_stddev,
 
 
 @reg("ticker_zscore", with_shapes(f"""SELECT ticker, date, close, ROUND(rolling_avg, 6) AS rolling_avg,
-  ROUND(rolling_stddev, 6) AS rolling_stddev, ROUND(z_score, 6) AS z_score FROM ({F4})""", "stock"))
+  ROUND(rolling_stddev, 4) AS rolling_stddev, ROUND(z_score, 6) AS z_score FROM ({F4})""", "stock"))
 def _f4(spark, sf):
     s = derived.stock(spark, sf).select("ticker", "date", "close")
-    return rounded(FT.ticker_zscore(s))
+    out = FT.ticker_zscore(s)
+    return rounded(out.withColumn("rolling_stddev", F.round("rolling_stddev", 4)))
 
 
 @reg("lag_mean_zscore", with_shapes(f"""SELECT date, close, ROUND(rolling_avg, 6) AS rolling_avg,
