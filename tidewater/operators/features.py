@@ -165,8 +165,24 @@ def rolling_zscore(df: DataFrame, col: str = "close", back: int = 5, order: str
 def ticker_zscore(df: DataFrame, col: str = "close", n: int = 5, divisor: float = 5,
                   order: str = "date", partition=("ticker",), scalable: bool = True) -> DataFrame:
     """(value - W6) / W7 per ticker, zero-guarded."""
-    a = lag_sum_avg(df, col, n, divisor, order, partition, scalable)
-    b = cumulative_std(a, col, order, partition, "rolling_stddev", scalable)
+    if not scalable:
+        a = lag_sum_avg(df, col, n, divisor, order, partition, scalable)
+        b = cumulative_std(a, col, order, partition, "rolling_stddev", scalable)
+        return b.withColumn("z_score", zscore_guarded(col, "rolling_avg", "rolling_stddev"))
+
+    # one exact position pass shared by the bounded window (W6) and the running
+    # moments (W7) of the same series
+    def make(w):
+        total = F.col(col)
+        for i in range(1, n + 1):
+            total = total + F.lag(col, i).over(w)
+        return {"rolling_avg": total / F.lit(float(divisor))}
+    d, oc = _order_cols(df, order)
+    width = 64 if dict(df.dtypes)[order] == "date" else 1 << 16
+    a = bounded_window(d, list(partition), oc, n, make, width=width, keep_pos=True)
+    b = running_moments(a, list(partition), oc, col, prefix="_tw_run", width=width)
+    b = (b.withColumnRenamed("_tw_run_std", "rolling_stddev")
+         .drop("_tw_run_count", "_tw_run_mean", "_tw_o"))
     return b.withColumn("z_score", zscore_guarded(col, "rolling_avg", "rolling_stddev"))
 
 

@@ -190,8 +190,11 @@ def run_groups(log: DataFrame, scope: str = "session_id", key: Column | None = N
     Returns (scope, first_pos, last_pos, first_id, last_id)."""
     key = key if key is not None else F.concat_ws(":", statement_kind("query_text"),
                                                   F.coalesce(target_table("query_text"), F.lit("")))
-    d = log.select(scope, "query_id", key.alias("_tw_key"))
-    p = ordinal_within(d, [scope], ["query_id"], out="pos")
+    if "pos" in log.columns:  # positions shared with the caller
+        p = log.select(scope, "query_id", "pos", key.alias("_tw_key"))
+    else:
+        d = log.select(scope, "query_id", key.alias("_tw_key"))
+        p = ordinal_within(d, [scope], ["query_id"], out="pos")
     q = ordinal_within(p, [scope, "_tw_key"], ["pos"], out="_tw_kpos")
     g = (q.withColumn("_tw_island", F.col("pos") - F.col("_tw_kpos"))
          .groupBy(scope, "_tw_key", "_tw_island")
@@ -205,14 +208,13 @@ def execution_chain(log: DataFrame, groups: DataFrame | None = None, scope: str
                     ) -> DataFrame:
     """L10 (W9 + J9): next-statement edges per session; edges whose source lies in
     ``[first_pos, last_pos)`` of a merge group vanish (the group runs as one)."""
-    d = log.select(scope, "query_id")
-    p = ordinal_within(d, [scope], ["query_id"], out="pos")
+    p = ordinal_within(log.select(scope, "query_id", "query_text"), [scope], ["query_id"], out="pos")
     a = p.select(scope, F.col("query_id").alias("src"), "pos")
     b = p.select(F.col(scope).alias("_tw_s"), F.col("query_id").alias("dst"),
                  (F.col("pos") - 1).alias("_tw_p"))
     edges = (a.join(b, (a[scope].eqNullSafe(b["_tw_s"])) & (a["pos"] == b["_tw_p"]))
              .select(scope, "src", "dst", F.col("pos").alias("src_pos")))
-    groups = groups if groups is not None else run_groups(log, scope)
+    groups = groups if groups is not None else run_groups(p, scope)
     kept = range_anti_join(edges, groups, "src_pos", "first_pos", "last_pos", width=64, scope=[scope])
     return kept.select(scope, "src", "dst")
 

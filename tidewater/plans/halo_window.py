@@ -31,6 +31,8 @@ MakeCols = Callable[[WindowSpec], dict[str, Column]]
 
 
 def _positions(df, group_cols, order_cols, width):
+    if "_tw_pos" in df.columns:  # positions already computed by the caller (shared)
+        return df, (list(group_cols) or ["_tw_all"])
     if not group_cols:
         df = df.withColumn("_tw_all", F.lit(0))
         group_cols = ["_tw_all"]
@@ -39,11 +41,13 @@ def _positions(df, group_cols, order_cols, width):
 
 def bounded_window(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    lookback: int, make_cols: MakeCols, block_rows: int = 1 << 16,
-                   width: int = 1 << 16) -> DataFrame:
+                   width: int = 1 << 16, keep_pos: bool = False) -> DataFrame:
     """Add the columns of ``make_cols(window)``, where ``window`` is ordered like
     ``order_cols`` inside ``group_cols`` and every frame reaches at most
     ``lookback`` rows back and none forward.  ``order_cols[0]`` must be numeric
-    and ``order_cols`` must be a total order within a group."""
+    and ``order_cols`` must be a total order within a group.  With
+    ``keep_pos`` the exact positions stay in ``_tw_pos`` for a following
+    window over the same series (no second position pass)."""
     if lookback >= block_rows:
         raise ValueError("block_rows must exceed lookback")
     pos, groups = _positions(df, list(group_cols), list(order_cols), width)
@@ -56,7 +60,7 @@ def bounded_window(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
          .withColumn("_tw_halo", F.col("_tw_blk") != F.col("_tw_own")).drop("_tw_own"))
     w = Window.partitionBy(*groups, "_tw_blk").orderBy("_tw_pos")
     out = u.withColumns(make_cols(w)).filter(~F.col("_tw_halo"))
-    return out.drop("_tw_blk", "_tw_halo", "_tw_pos", "_tw_all")
+    return out.drop("_tw_blk", "_tw_halo", *([] if keep_pos else ["_tw_pos", "_tw_all"]))
 
 
 def running_moments(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
