@@ -37,7 +37,7 @@ def series_window(df: DataFrame, order: str, lookback: int, make_cols,
         w = Window.partitionBy(*partition).orderBy(order) if partition else Window.orderBy(order)
         return df.withColumns(make_cols(w))
     d, oc = _order_cols(df, order)
-    width = 64 if oc == ["_tw_o"] and dict(df.dtypes)[order] == "date" else 1 << 16
+    width = None
     out = bounded_window(d, list(partition), oc, lookback, make_cols, block_rows, width)
     return out.drop("_tw_o") if oc == ["_tw_o"] else out
 
@@ -107,7 +107,7 @@ def cumulative_std(df: DataFrame, col: str = "close", order: str = "date", parti
         w = (Window.partitionBy(*partition) if partition else Window).orderBy(order)
         return df.withColumn(out, F.stddev_samp(col).over(w))
     d, oc = _order_cols(df, order)
-    width = 64 if dict(df.dtypes)[order] == "date" else 1 << 16
+    width = None
     r = running_moments(d, list(partition), oc, col, prefix="_tw_run", width=width)
     return (r.withColumnRenamed("_tw_run_std", out)
             .drop("_tw_run_count", "_tw_run_mean", "_tw_o"))
@@ -178,7 +178,7 @@ def ticker_zscore(df: DataFrame, col: str = "close", n: int = 5, divisor: float
             total = total + F.lag(col, i).over(w)
         return {"rolling_avg": total / F.lit(float(divisor))}
     d, oc = _order_cols(df, order)
-    width = 64 if dict(df.dtypes)[order] == "date" else 1 << 16
+    width = None
     a = bounded_window(d, list(partition), oc, n, make, width=width, keep_pos=True)
     b = running_moments(a, list(partition), oc, col, prefix="_tw_run", width=width)
     b = (b.withColumnRenamed("_tw_run_std", "rolling_stddev")

@@ -41,7 +41,7 @@ def _positions(df, group_cols, order_cols, width):
 
 def bounded_window(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    lookback: int, make_cols: MakeCols, block_rows: int = 1 << 16,
-                   width: int = 1 << 16, keep_pos: bool = False) -> DataFrame:
+                   width: int | None = None, keep_pos: bool = False) -> DataFrame:
     """Add the columns of ``make_cols(window)``, where ``window`` is ordered like
     ``order_cols`` inside ``group_cols`` and every frame reaches at most
     ``lookback`` rows back and none forward.  ``order_cols[0]`` must be numeric
@@ -65,7 +65,7 @@ def bounded_window(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
 
 def running_moments(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                     x: str, prefix: str = "run", block_rows: int = 1 << 16,
-                    width: int = 1 << 16) -> DataFrame:
+                    width: int | None = None) -> DataFrame:
     """Cumulative count, mean and sample deviation of ``x`` from the first row of
     the group to the current one (ROWS UNBOUNDED PRECEDING .. CURRENT ROW)."""
     pos, groups = _positions(df, list(group_cols), list(order_cols), width)
