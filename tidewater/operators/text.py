@@ -290,8 +290,9 @@ def tokens(text) -> Column:
 
 def bm25_index(docs: DataFrame, id_col: str, text_col: str, attrs: Sequence[str] = (),
                n_partitions: int | None = None, materialise: bool = True):  # noqa: C901
-    """T8 index: document-partitioned postings ``(doc, attrs..., dl, term, tf)`` and
-    the collection statistics (N, average length) as a one-row table.
+    """T8 index: document-partitioned postings ``(doc, attrs..., dl, term, tf)``, the
+    term dictionary ``(term, df)`` and the collection statistics (N, average
+    length) as a one-row table.
 
     Texts are shuffled once by document id and tokenised once; term counts are
     then computed inside each partition (the grouping keys include the
@@ -308,10 +309,13 @@ def bm25_index(docs: DataFrame, id_col: str, text_col: str, attrs: Sequence[str]
                 .groupBy(id_col, *attrs, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     if materialise:
         postings = materialise_(postings, "bm25_postings")
+    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))  # term dictionary
+    if materialise:
+        terms = materialise_(terms, "bm25_terms")
     n_docs = docs.select(id_col).count()
     total = postings.agg(F.sum("tf")).first()[0] or 0
     coll = spark.createDataFrame([(n_docs, (total / n_docs) if n_docs else 0.0)], "n_docs long, avgdl double")
-    return postings, coll
+    return postings, terms, coll
 
 
 def bm25_search(index, queries: DataFrame, qid_col: str, qtext_col: str, id_col: str,
@@ -327,9 +331,8 @@ def bm25_search(index, queries: DataFrame, qid_col: str, qtext_col: str, id_col:
     (query, id-salt), then per query) so a query matching every document never
     ranks them all in one task."""
     from ..plans.broadcast import bounded_broadcast
-    postings, coll = index
+    postings, df_t, coll = index
     n_docs, avgdl = coll.first()  # one row of collection statistics
-    df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     qt = queries.select(qid_col, F.explode(F.array_distinct(tokens(qtext_col))).alias("term"))
     idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     qterms = qt.join(df_t, "term").select(qid_col, "term", idf.alias("idf"))
