@@ -84,13 +84,32 @@ def migration_report(status: DataFrame, log: DataFrame | None = None, run_col: s
     return rep
 
 
-def incremental_load(df: DataFrame, key: str, last_mark=None) -> tuple[DataFrame, object]:
-    """Q17: rows above the stored high-water mark and the next mark (MAX of key
-    over the loaded rows; one small aggregate).  Save the mark only after the
-    write succeeded."""
-    inc = df if last_mark is None else df.filter(F.col(key) > F.lit(last_mark))
-    nxt = inc.agg(F.max(key)).first()[0]
-    return inc, (nxt if nxt is not None else last_mark)
+def incremental_load(df: DataFrame, key: str, last_mark=None) -> DataFrame:
+    """Q17: the rows above the stored high-water mark (lazy)."""
+    return df if last_mark is None else df.filter(F.col(key) > F.lit(last_mark))
+
+
+def incremental_write(df: DataFrame, key: str, path: str, mark_path: str, fmt: str = "parquet"):
+    """Q17 end to end: load the increment above the stored mark, append it to
+    ``path``, then advance the mark from the rows actually written (read back),
+    so a failed or concurrent load never moves the mark past unwritten rows.
+    Returns (written increment, new mark)."""
+    spark = df.sparkSession
+    last = load_mark(spark, mark_path)
+    inc = incremental_load(df, key, None if last is None else _typed(df, key, last))
+    import uuid
+    batch = f"{path.rstrip('/')}/load_id={uuid.uuid4().hex}"
+    inc.write.mode("overwrite").format(fmt).save(batch)
+    written = spark.read.format(fmt).load(batch)
+    nxt = written.agg(F.max(key)).first()[0]
+    if nxt is not None:
+        save_mark(spark, mark_path, key, nxt)
+    return written, (nxt if nxt is not None else last)
+
+
+def _typed(df: DataFrame, key: str, mark: str):
+    t = dict(df.dtypes)[key]
+    return int(mark) if t in ("bigint", "int", "smallint", "tinyint") else mark
 
 
 def save_mark(spark: SparkSession, path: str, key: str, mark) -> None:

@@ -216,9 +216,8 @@ def _s19(spark, sf):
   (SELECT MAX(event_id) FROM events WHERE ts < TIMESTAMP '2024-01-16')""")
 def _q17(spark, sf):
     ev = tables(spark, sf).events.select("event_id", "user_id", "ts")
-    mark_path = _run(spark, "mark")
-    first, mark = M.incremental_load(ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")),
-                                     "event_id")
-    M.save_mark(spark, mark_path, "event_id", mark)
-    inc, _ = M.incremental_load(ev, "event_id", int(M.load_mark(spark, mark_path)))
+    base = _run(spark, "incremental")
+    first = ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    M.incremental_write(first, "event_id", base + "/data", base + "/mark")   # round 1
+    inc, _ = M.incremental_write(ev, "event_id", base + "/data", base + "/mark")  # round 2
     return inc.select("event_id", "user_id")
