@@ -64,7 +64,7 @@ def after_marker(text, marker: str) -> Column:
 
 def path_part(path, index: int) -> Column:
     """Piece of a '/'-separated path; negative index counts from the end."""
-    return F.element_at(F.split(_c(path), "/"), index)
+    return F.try_element_at(F.split(_c(path), "/"), F.lit(index))
 
 
 def run_id_now() -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import path_part, row_key_col
-from .relational import labelled_union, row_hash_col
+from .relational import labelled_union, row_hash_col, subset_missing
 
 
 def row_count_check(src: DataFrame, dst: DataFrame) -> DataFrame:
@@ -95,8 +95,7 @@ def layout_check(listing: DataFrame, expected: DataFrame, path_col: str = "path"
     """Q14: expected prefixes at ``level`` (1 = top-level folder) missing from the
     listing; empty means the layout is complete."""
     found = listing.select(path_part(F.ltrim(F.col(path_col)), level).alias(prefix_col))
-    return (expected.select(prefix_col).distinct()
-            .join(found.filter(F.col(prefix_col).isNotNull()).distinct(), prefix_col, "left_anti"))
+    return subset_missing(expected, found.filter(F.col(prefix_col).isNotNull()), prefix_col)
 
 
 def first_failure(checks: DataFrame, order_col: str = "check_order", passed_col: str = "passed",

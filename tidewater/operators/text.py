@@ -435,7 +435,7 @@ def parse_response(text) -> tuple[Column, Column, Column]:
     body = F.regexp_replace(F.regexp_replace(t, r"^\{+|\}+$", ""), r"\{", "")
     tool_part = F.substring_index(body, ", Response: ", 1)
     tool = F.when(F.instr(body, ", Response: ") > 0,
-                  F.element_at(F.split(tool_part, ": "), 2))
+                  F.try_element_at(F.split(tool_part, ": "), F.lit(2)))
     resp = F.when(F.instr(body, ", Response: ") > 0,
                   F.substring(body, F.instr(body, ", Response: ") + F.lit(len(", Response: ")), F.lit(1 << 30)))
     return after, tool, resp
