@@ -67,6 +67,14 @@ def path_part(path, index: int) -> Column:
     return F.try_element_at(F.split(_c(path), "/"), F.lit(index))
 
 
+def epoch_seconds_ntz(ts) -> Column:
+    """Whole seconds since 1970-01-01 of a wall-clock timestamp (timestamp_ntz),
+    independent of the session time zone."""
+    t = _c(ts)
+    return (F.unix_date(t.cast("date")).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+            + F.floor(F.second(t))).cast("long")
+
+
 def run_id_now() -> Column:
     """Run id from the clock, ``yyyyMMdd_HHmmss``."""
     return F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")

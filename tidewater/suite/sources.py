@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import epoch_seconds_ntz
 from ..operators import migrate as M
 from ..operators import relational as R
 from ..session import scratch_path
@@ -57,7 +58,7 @@ def _s7(spark, sf):
 def _s8(spark, sf):
     path = _run(spark, "metrics")
     ev = tables(spark, sf).events
-    ev.select(F.concat_ws(" ", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string"),
+    ev.select(F.concat_ws(" ", epoch_seconds_ntz("ts").cast("string"),
                           F.col("value").cast("string"), F.col("event_id").cast("string"))).write.text(path)
     return io.metric_log_scan(spark, path)
 
