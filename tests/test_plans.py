@@ -31,8 +31,6 @@ def test_ordinal_matches_row_number_on_a_hot_group(spark):
 
 def test_halo_window_equals_plain_window(spark):
     m = derived.market(spark, SF_MID)
-    for scalable in (True, False):
-        pass
     make = lambda w: {"l5": F.lag("close", 5).over(w),
                       "sd": F.stddev_samp("close").over(w.rowsBetween(-4, 0))}
     d = m.withColumn("o", F.unix_date("date"))
@@ -101,3 +99,23 @@ def test_flagship_prunes_columns(spark):
     t = Tables(spark, SF_SMALL)
     plan = _plan(R.wide_denormalise(t.customer, t.orders, t.lineitem, t.supplier, t.nation, t.events, t.part))
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_acctbal:double>" in plan
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    import uuid
+
+    from tidewater.session import scratch_path
+    from tidewater.sources import io
+    t = Tables(spark, SF_SMALL)
+    tag = uuid.uuid4().hex[:8]
+    o = io.save_bucketed(t.orders, f"tw_o_{tag}", "o_orderkey", 8, scratch_path(spark, f"b/o_{tag}"))
+    li = io.save_bucketed(t.lineitem, f"tw_l_{tag}", "l_orderkey", 8, scratch_path(spark, f"b/l_{tag}"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = o.join(li, o.o_orderkey == li.l_orderkey).groupBy("o_orderkey").count()
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")) \
+            .select("o_orderkey").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -127,6 +127,19 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def save_bucketed(df: DataFrame, name: str, key: Sequence[str] | str, n_buckets: int,
+                  path: str | None = None) -> DataFrame:
+    """Stage a table bucketed and sorted by its join key, so later joins and
+    aggregations on that key between tables bucketed the same way run without
+    a shuffle (co-located sort-merge join)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    w = df.write.mode("overwrite").format("parquet").bucketBy(n_buckets, *keys).sortBy(*keys)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> str:
     """Replace only the partitions present in ``df``."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
