@@ -15,11 +15,14 @@ from .relational import labelled_union, row_hash_col, subset_missing
 
 
 def row_count_check(src: DataFrame, dst: DataFrame) -> DataFrame:
-    """Q6: both counts and whether they agree, as one row (two partial aggregates)."""
-    s = src.agg(F.count(F.lit(1)).alias("src_count"))
-    d = dst.agg(F.count(F.lit(1)).alias("dst_count"))
-    return (s.withColumn("_k", F.lit(1)).join(d.withColumn("_k", F.lit(1)), "_k")
-            .drop("_k").withColumn("counts_match", F.col("src_count") == F.col("dst_count")))
+    """Q6: both counts and whether they agree, as one row: one union, one global
+    aggregate (no join between the two counts)."""
+    u = (src.select(F.lit(1).alias("_tw_s"), F.lit(0).alias("_tw_d"))
+         .unionByName(dst.select(F.lit(0).alias("_tw_s"), F.lit(1).alias("_tw_d"))))
+    c = u.agg(F.sum("_tw_s").cast("long").alias("src_count"), F.sum("_tw_d").cast("long").alias("dst_count"))
+    c = c.select(F.coalesce("src_count", F.lit(0)).alias("src_count"),
+                 F.coalesce("dst_count", F.lit(0)).alias("dst_count"))
+    return c.withColumn("counts_match", F.col("src_count") == F.col("dst_count"))
 
 
 def checksum_check(src: DataFrame, dst: DataFrame, cols: Sequence[str], bucket: Column | None = None
