@@ -160,3 +160,23 @@ def test_dedup_drops_late_repeats(spark):
     X.run_to_end(X.cdc_dedup_stream(mk(), base + "/out", base + "/ckpt", ["event_id"]))
     ids = sorted(r["event_id"] for r in spark.read.parquet(base + "/out").collect())
     assert ids == [1, 2, 3]
+
+
+@pytest.mark.parametrize("kind", ["sliding", "session"])
+def test_windowed_counts_variants_match_batch(spark, kind):
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix=f"tw-win-{kind}-")
+    src = os.path.join(base, "src")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(minutes=m), "a") for m in (0, 5, 50, 130, 131, 400)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, event_type string").coalesce(1).write.parquet(src)
+    stream = X.event_time(spark.readStream.schema("ts timestamp_ntz, event_type string").parquet(src))
+    opts = {"slide": "30 minutes"} if kind == "sliding" else {"session_gap": "20 minutes"}
+    X.run_to_end(X.windowed_counts_stream(stream, base + "/out", base + "/ckpt", delay="0 seconds", **opts))
+    got = sorted((r["window_start"], r["n_events"]) for r in spark.read.parquet(base + "/out").collect())
+    batch = X.event_time(spark.read.parquet(src))
+    w = (F.window("ts", "1 hour", "30 minutes") if kind == "sliding" else F.session_window("ts", "20 minutes"))
+    exp = batch.groupBy(w.alias("w"), "event_type").count()
+    max_ts = batch.agg(F.max("ts")).first()[0]
+    exp = sorted((r["w"]["start"], r["count"]) for r in exp.collect() if r["w"]["end"] <= max_ts)
+    assert got == exp and len(got) > 0
