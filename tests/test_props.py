@@ -114,10 +114,14 @@ def test_status_json_multiline_and_report(spark, tmp_path):
 
 def test_run_log_other_layouts_kept(spark, tmp_path):
     p = tmp_path / "run.log"
-    p.write_text("2024-01-01 10:00:00,123 - ERROR: broke\nfree text line\n")
+    p.write_text("2024-01-01 10:00:00,123 - ERROR: broke\nfree text line\n"
+                 "2024-01-01 10:00:01 - analyzer - WARNING - slow scan\n"
+                 "2024-01-01 10:00:02 | conn.py:43 | INFO | connected\n")
     rows = io.run_log_scan(spark, str(p)).collect()
-    assert rows[0]["level"] == "ERROR" and rows[0]["message"] == "broke"
+    assert rows[0]["level"] == "ERROR" and rows[0]["message"] == "broke" and rows[0]["ts"].microsecond == 123000
     assert rows[1]["level"] is None and rows[1]["message"] == "free text line"
+    assert (rows[2]["level"], rows[2]["source"], rows[2]["message"]) == ("WARNING", "analyzer", "slow scan")
+    assert (rows[3]["level"], rows[3]["source"], rows[3]["message"]) == ("INFO", "conn.py:43", "connected")
 
 
 def _write_changes(spark, folder, rows, name):

@@ -15,8 +15,17 @@ from pyspark.sql import types as T
 
 from ..operators.relational import require_columns
 
-# Run-log line layout ``<asctime> - <LEVEL>: <message>``.
-LOG_LINE_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:[,.]\d+)?) - ([A-Z]+): (.*)$"
+# Run-log line layouts (timestamp with optional ",mmm" milliseconds):
+#   "<ts> - <LEVEL>: <message>"
+#   "<ts> - <logger> - <LEVEL> - <message>"
+#   "<ts> | <file>:<line> | <LEVEL> | <message>"
+LOG_TS = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:[,.]\d+)?)"
+LOG_LAYOUTS = [
+    LOG_TS + r" - ()([A-Z]+): (.*)$",
+    LOG_TS + r" - ([^ ]+) - ([A-Z]+) - (.*)$",
+    LOG_TS + r" \| ([^|]+?) \| ([A-Z]+) \| (.*)$",
+]
+LOG_LINE_PATTERN = "^" + LOG_LAYOUTS[0]
 LOG_TS_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
 
 RUN_STATUS_SCHEMA = T.StructType([
@@ -181,15 +190,18 @@ def run_status_scan(spark: SparkSession, glob: str, multi_line: bool = True) ->
 
 
 def run_log_scan(spark: SparkSession, glob: str) -> DataFrame:
-    """Run-log lines into (ts, level, message); lines in other layouts keep
-    their text in ``message`` with NULL ts/level."""
-    lines = spark.read.text(glob)
-    m = F.regexp_extract("value", LOG_LINE_PATTERN, 1)
-    ok = m != ""
-    return lines.select(
-        F.when(ok, F.to_timestamp_ntz(m, F.lit(LOG_TS_FORMAT))).alias("ts"),
-        F.when(ok, F.regexp_extract("value", LOG_LINE_PATTERN, 2)).alias("level"),
-        F.when(ok, F.regexp_extract("value", LOG_LINE_PATTERN, 3)).otherwise(F.col("value")).alias("message"))
+    """Run-log lines in any of the known layouts into (ts, level, source,
+    message); lines in other layouts keep their text in ``message`` with NULL
+    ts/level/source."""
+    v = F.col("value")
+    parts = []
+    for i in range(1, 5):
+        parts.append(F.coalesce(*[F.when(v.rlike("^" + p), F.regexp_extract(v, "^" + p, i))
+                                  for p in LOG_LAYOUTS]))
+    ts, source, level, message = parts
+    return spark.read.text(glob).select(
+        F.to_timestamp_ntz(F.regexp_replace(ts, ",", ".")).alias("ts"), level.alias("level"),
+        F.when(source != "", source).alias("source"), F.coalesce(message, v).alias("message"))
 
 
 def object_listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -173,7 +173,7 @@ def _a11(spark, sf):
   concat('user=', CAST(user_id AS VARCHAR), ' event=', CAST(event_id AS VARCHAR), ' ', event_type) AS message
   FROM events""")
 def _s16(spark, sf):
-    return io.run_log_scan(spark, _write_log(spark, sf, _run(spark, "log")))
+    return io.run_log_scan(spark, _write_log(spark, sf, _run(spark, "log"))).drop("source")
 
 
 @reg("migration_report", STATUS_CTE + """, e AS (SELECT user_id, COUNT(*) AS n_errors FROM events
