@@ -302,18 +302,26 @@ def bm25_index(docs: DataFrame, id_col: str, text_col: str, attrs: Sequence[str]
     from ..session import materialise as materialise_
     spark = docs.sparkSession
     n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from pyspark.sql import Observation
     d = docs.select(id_col, *attrs, text_col).repartition(n, id_col)
     toks = d.select(id_col, *attrs, tokens(text_col).alias("_tw_t"))
+    # collection statistics observed during the postings build (no extra pass)
+    obs = Observation("bm25_collection")
+    toks = toks.observe(obs, F.count(F.lit(1)).alias("n_docs"),
+                        F.sum(F.size("_tw_t")).cast("long").alias("n_tokens"))
     postings = (toks.select(id_col, *attrs, F.size("_tw_t").cast("long").alias("dl"),
                             F.explode("_tw_t").alias("term"))
                 .groupBy(id_col, *attrs, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     if materialise:
         postings = materialise_(postings, "bm25_postings")
+        stats = obs.get
+        n_docs, total = stats["n_docs"], stats["n_tokens"] or 0
+    else:
+        n_docs = docs.select(id_col).count()
+        total = postings.agg(F.sum("tf")).first()[0] or 0
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))  # term dictionary
     if materialise:
         terms = materialise_(terms, "bm25_terms")
-    n_docs = docs.select(id_col).count()
-    total = postings.agg(F.sum("tf")).first()[0] or 0
     coll = spark.createDataFrame([(n_docs, (total / n_docs) if n_docs else 0.0)], "n_docs long, avgdl double")
     return postings, terms, coll
 
