@@ -229,23 +229,30 @@ def _knn_group(index, queries, k, id_col, vec_col, qid_col, qvec_col):
         import numpy as np
         import pandas as pd
         qids, qmat = bq.value
-        best_d = np.full((len(qids), 0), np.inf)
-        best_i = np.zeros((len(qids), 0), dtype="int64")
+        qn = (qmat * qmat).sum(axis=1)
+        nq = len(qids)
+        best_d = np.full((nq, 0), np.inf)
+        best_i = np.zeros((nq, 0), dtype="int64")
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             vecs = np.stack(pdf[vec_col].to_numpy()).astype("float64")
             ids = pdf[id_col].to_numpy().astype("int64")
-            d = np.stack([np.sqrt(((vecs - q) ** 2).sum(axis=1)) for q in qmat])
-            cd = np.concatenate([best_d, d], axis=1)
-            ci = np.concatenate([best_i, np.broadcast_to(ids, d.shape)], axis=1)
-            order = np.lexsort((ci, cd), axis=1)[:, :k]
-            best_d = np.take_along_axis(cd, order, axis=1)
-            best_i = np.take_along_axis(ci, order, axis=1)
+            vn = (vecs * vecs).sum(axis=1)
+            new_d, new_i = [], []
+            for q0 in range(0, nq, 256):  # bounded (256 x batch) distance blocks
+                qc = qmat[q0:q0 + 256]
+                d2 = np.maximum(qn[q0:q0 + 256, None] + vn[None, :] - 2.0 * (qc @ vecs.T), 0.0)
+                cd = np.concatenate([best_d[q0:q0 + 256], d2], axis=1)
+                ci = np.concatenate([best_i[q0:q0 + 256], np.broadcast_to(ids, d2.shape)], axis=1)
+                order = np.lexsort((ci, cd), axis=1)[:, :k]
+                new_d.append(np.take_along_axis(cd, order, axis=1))
+                new_i.append(np.take_along_axis(ci, order, axis=1))
+            best_d, best_i = np.concatenate(new_d), np.concatenate(new_i)
         if best_d.shape[1] == 0:
             return
         yield pd.DataFrame({qid_col: np.repeat(qids, best_d.shape[1]),
-                            id_col: best_i.ravel(), "distance": best_d.ravel()})
+                            id_col: best_i.ravel(), "distance": np.sqrt(best_d.ravel())})
     local = index.select(id_col, vec_col).mapInPandas(
         scan, f"{qid_col} long, {id_col} long, distance double")
     w = Window.partitionBy(qid_col).orderBy("distance", id_col)
