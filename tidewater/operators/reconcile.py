@@ -45,16 +45,19 @@ def compare_keys(left: DataFrame, right: DataFrame, cols: Sequence[str],
     """Q8: row keys (P10) present on one side only, labelled; a single
     ``All rows match`` row when there is no difference.
 
-    Distinct keys, a full outer join and a union — the "no difference" row is
-    decided inside the plan from a count, not on the driver."""
-    lk = left.select(row_key_col(cols).alias("Concatenated")).dropna().distinct()
-    rk = right.select(row_key_col(cols).alias("Concatenated")).distinct()
-    diff = labelled_union({right_label: rk.join(lk, "Concatenated", "left_anti"),
-                           left_label: lk.join(rk, "Concatenated", "left_anti")}, "Source")
+    Distinct keys and one full outer join; the "no difference" row is decided
+    inside the plan from a count of the same result, not on the driver."""
+    lk = left.select(row_key_col(cols).alias("Concatenated")).dropna().distinct() \
+        .withColumn("_tw_l", F.lit(True))
+    rk = right.select(row_key_col(cols).alias("Concatenated")).distinct().withColumn("_tw_r", F.lit(True))
+    j = lk.join(rk, "Concatenated", "full_outer")
+    diff = j.filter(F.col("_tw_l").isNull() | F.col("_tw_r").isNull()).select(
+        F.when(F.col("_tw_l").isNull(), F.lit(right_label)).otherwise(F.lit(left_label)).alias("Source"),
+        "Concatenated")
     ok = (diff.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == 0)
           .select(F.lit("All rows match").alias("Source"),
                   F.lit(None).cast("string").alias("Concatenated")))
-    return diff.select("Source", "Concatenated").unionByName(ok)
+    return diff.unionByName(ok)
 
 
 def find_duplicates(sides: dict[str, DataFrame], key: str, id_col: str) -> DataFrame:
