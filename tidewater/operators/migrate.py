@@ -113,12 +113,16 @@ def _typed(df: DataFrame, key: str, mark: str):
 
 
 def save_mark(spark: SparkSession, path: str, key: str, mark) -> None:
-    spark.createDataFrame([(key, str(mark))], "key string, mark string").write.mode("overwrite").parquet(path)
+    """Append a high-water mark (key, mark, time written); the latest one wins.
+    Append-only, so a retried or concurrent writer never destroys a mark."""
+    (spark.createDataFrame([(key, None if mark is None else str(mark))], "key string, mark string")
+     .withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(path))
 
 
 def load_mark(spark: SparkSession, path: str):
-    try:
-        r = spark.read.parquet(path).first()
-        return None if r is None else r["mark"]
-    except Exception:  # noqa: BLE001 - no mark yet
-        return None
+    """The latest stored mark (None on the first run).  The mark table is created
+    with a null entry first, so no read ever targets a missing path."""
+    save_mark(spark, path, "", None)
+    r = (spark.read.parquet(path).filter(F.col("mark").isNotNull())
+         .orderBy(F.col("written_at").desc()).limit(1).collect())
+    return r[0]["mark"] if r else None
