@@ -24,16 +24,18 @@ from .conftest import SF_SMALL
 def test_recursive_chunks_bounded_and_ordered(text, size, overlap):
     chunks = TX.recursive_chunks(text, size, overlap)
     assert all(0 < len(c) <= size for c in chunks)
-    # dropping each chunk's overlap with the text so far rebuilds the whole text, in order
-    rebuilt = ""
-    for c in chunks:
-        for k in range(min(overlap, len(c)), -1, -1):
-            if rebuilt.endswith(c[:k]) and text.startswith(rebuilt + c[k:]):
-                rebuilt += c[k:]
-                break
-        else:
-            raise AssertionError("chunk out of order")
-    assert rebuilt == text
+    # dropping each chunk's overlap (some split of at most `overlap` chars) rebuilds
+    # the whole text in order; search the splits, since repetitive text is ambiguous
+    def rebuild(i, done):
+        if i == len(chunks):
+            return done == len(text)
+        c = chunks[i]
+        for k in range(min(overlap, len(c), done), -1, -1):
+            if text[done - k:done] == c[:k] and text.startswith(c[k:], done) and \
+                    rebuild(i + 1, done + len(c) - k):
+                return True
+        return False
+    assert rebuild(0, 0)
 
 
 def test_chunk_recursive_distributed_matches_helper(spark):
@@ -62,8 +64,9 @@ def test_lsh_recall_against_exact(spark):
 def test_knn_exact_query_groups_equal_single_group(spark):
     e = Tables(spark, SF_SMALL).embeddings
     q = e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
-    a = TX.knn_exact(e, q, 3)
-    b = TX.knn_exact(e, q, 3, max_broadcast=120)  # several broadcast groups, still exact
+    cols = ["query_id", "rank", "vec_id", F.round("distance", 9).alias("distance")]
+    a = TX.knn_exact(e, q, 3).select(*cols)
+    b = TX.knn_exact(e, q, 3, max_broadcast=120).select(*cols)  # several broadcast groups, still exact
     assert a.exceptAll(b).count() == 0 and a.count() == b.count()
 
 

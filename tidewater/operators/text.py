@@ -229,8 +229,7 @@ def _knn_group(index, queries, k, id_col, vec_col, qid_col, qvec_col):
         import numpy as np
         import pandas as pd
         qids, qmat = bq.value
-        qn = (qmat * qmat).sum(axis=1)
-        nq = len(qids)
+        nq, dim = qmat.shape
         best_d = np.full((nq, 0), np.inf)
         best_i = np.zeros((nq, 0), dtype="int64")
         for pdf in batches:
@@ -238,13 +237,15 @@ def _knn_group(index, queries, k, id_col, vec_col, qid_col, qvec_col):
                 continue
             vecs = np.stack(pdf[vec_col].to_numpy()).astype("float64")
             ids = pdf[id_col].to_numpy().astype("int64")
-            vn = (vecs * vecs).sum(axis=1)
+            # exact squared distances from direct differences, in blocks of queries
+            # sized to keep the (block x batch x dim) difference tensor near 8M values
+            step = max(1, (1 << 23) // max(1, len(vecs) * dim))
             new_d, new_i = [], []
-            for q0 in range(0, nq, 256):  # bounded (256 x batch) distance blocks
-                qc = qmat[q0:q0 + 256]
-                d2 = np.maximum(qn[q0:q0 + 256, None] + vn[None, :] - 2.0 * (qc @ vecs.T), 0.0)
-                cd = np.concatenate([best_d[q0:q0 + 256], d2], axis=1)
-                ci = np.concatenate([best_i[q0:q0 + 256], np.broadcast_to(ids, d2.shape)], axis=1)
+            for q0 in range(0, nq, step):
+                diff = qmat[q0:q0 + step, None, :] - vecs[None, :, :]
+                d2 = np.einsum("qbd,qbd->qb", diff, diff)
+                cd = np.concatenate([best_d[q0:q0 + step], d2], axis=1)
+                ci = np.concatenate([best_i[q0:q0 + step], np.broadcast_to(ids, d2.shape)], axis=1)
                 order = np.lexsort((ci, cd), axis=1)[:, :k]
                 new_d.append(np.take_along_axis(cd, order, axis=1))
                 new_i.append(np.take_along_axis(ci, order, axis=1))
