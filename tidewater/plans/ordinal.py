@@ -63,7 +63,7 @@ def ordinal_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     local = Window.partitionBy(*group_cols, "_tw_b").orderBy(*order_cols)
     numbered = d.withColumn("_tw_r", F.row_number().over(local))
     cond = [numbered[c].eqNullSafe(offsets[f"_tw_g_{i}"]) for i, c in enumerate(group_cols)]
-    cond.append(numbered["_tw_b"] == offsets["_tw_ob"])
+    cond.append(numbered["_tw_b"].eqNullSafe(offsets["_tw_ob"]))  # NULL keys number first
     joined = numbered.join(offsets, cond, "inner")
     return (joined.withColumn(out, (F.col("_tw_off") + F.col("_tw_r")).cast("long"))
             .drop("_tw_b", "_tw_r", "_tw_off", "_tw_ob",
