@@ -18,6 +18,11 @@ from ..functions.columns import day_of_week_sun0, threshold_flag, zscore_guarded
 from ..plans.halo_window import bounded_window, running_moments
 
 
+# A series has one row per date within its partition, so 1024-day ranges hold at
+# most 1024 rows: dates need no bucket-width probe (other keys are probed once).
+DATE_BUCKET_DAYS = 1024
+
+
 def _order_cols(df: DataFrame, order: str) -> tuple[DataFrame, list[str]]:
     """Numeric leading order column for the position plan (dates -> day number)."""
     dt = dict(df.dtypes)[order]
@@ -28,6 +33,10 @@ def _order_cols(df: DataFrame, order: str) -> tuple[DataFrame, list[str]]:
     return df, [order]
 
 
+def _width(df: DataFrame, order: str):
+    return DATE_BUCKET_DAYS if dict(df.dtypes)[order] == "date" else None
+
+
 def series_window(df: DataFrame, order: str, lookback: int, make_cols,
                   partition: Sequence[str] = (), scalable: bool = True,
                   block_rows: int = 1 << 16) -> DataFrame:
@@ -37,8 +46,7 @@ def series_window(df: DataFrame, order: str, lookback: int, make_cols,
         w = Window.partitionBy(*partition).orderBy(order) if partition else Window.orderBy(order)
         return df.withColumns(make_cols(w))
     d, oc = _order_cols(df, order)
-    width = None
-    out = bounded_window(d, list(partition), oc, lookback, make_cols, block_rows, width)
+    out = bounded_window(d, list(partition), oc, lookback, make_cols, block_rows, _width(df, order))
     return out.drop("_tw_o") if oc == ["_tw_o"] else out
 
 
@@ -107,8 +115,7 @@ def cumulative_std(df: DataFrame, col: str = "close", order: str = "date", parti
         w = (Window.partitionBy(*partition) if partition else Window).orderBy(order)
         return df.withColumn(out, F.stddev_samp(col).over(w))
     d, oc = _order_cols(df, order)
-    width = None
-    r = running_moments(d, list(partition), oc, col, prefix="_tw_run", width=width)
+    r = running_moments(d, list(partition), oc, col, prefix="_tw_run", width=_width(df, order))
     return (r.withColumnRenamed("_tw_run_std", out)
             .drop("_tw_run_count", "_tw_run_mean", "_tw_o"))
 
@@ -178,7 +185,7 @@ def ticker_zscore(df: DataFrame, col: str = "close", n: int = 5, divisor: float
             total = total + F.lag(col, i).over(w)
         return {"rolling_avg": total / F.lit(float(divisor))}
     d, oc = _order_cols(df, order)
-    width = None
+    width = _width(df, order)
     a = bounded_window(d, list(partition), oc, n, make, width=width, keep_pos=True)
     b = running_moments(a, list(partition), oc, col, prefix="_tw_run", width=width)
     b = (b.withColumnRenamed("_tw_run_std", "rolling_stddev")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_word
-from ..plans.ordinal import ordinal_within
+from ..plans.ordinal import ROWS_PER_BUCKET, ordinal_within
 from ..plans.range_join import range_anti_join
 from .relational import pair_successors
 
@@ -195,7 +195,8 @@ def run_groups(log: DataFrame, scope: str = "session_id", key: Column | None = N
     else:
         d = log.select(scope, "query_id", key.alias("_tw_key"))
         p = ordinal_within(d, [scope], ["query_id"], out="pos")
-    q = ordinal_within(p, [scope, "_tw_key"], ["pos"], out="_tw_kpos")
+    # positions are dense (1..n per scope): fixed-size buckets need no probe
+    q = ordinal_within(p, [scope, "_tw_key"], ["pos"], out="_tw_kpos", width=ROWS_PER_BUCKET)
     g = (q.withColumn("_tw_island", F.col("pos") - F.col("_tw_kpos"))
          .groupBy(scope, "_tw_key", "_tw_island")
          .agg(F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"),
