@@ -187,3 +187,23 @@ def test_windowed_counts_variants_match_batch(spark, kind):
     max_ts = batch.agg(F.max("ts")).first()[0]
     exp = sorted((r["w"]["start"], r["count"]) for r in exp.collect() if r["w"]["end"] <= max_ts)
     assert got == exp and len(got) > 0
+
+
+def test_error_stream_alert_hook_and_progress_completion(spark):
+    base = tempfile.mkdtemp(prefix="tw-alert-")
+    ev = X.file_stream(spark, SF_SMALL, "events.parquet", Tables(spark, SF_SMALL).events.schema)
+    seen = []
+    q = X.error_stream(ev.select("event_id", "event_type"), base + "/out", base + "/ckpt",
+                       F.col("event_type") == "error", alert=lambda df, bid: seen.append((bid, df.count())))
+    X.run_to_end(q)
+    n_err = Tables(spark, SF_SMALL).events.filter(F.col("event_type") == "error").count()
+    assert sum(c for _, c in seen) == n_err == spark.read.parquet(base + "/out").count()
+    # progress stream: every run completes when all parts count towards done
+    parts = X.file_stream(spark, SF_SMALL, "events.parquet", Tables(spark, SF_SMALL).events.schema) \
+        .select(F.col("user_id").alias("run_id"), F.lit(1).cast("long").alias("records_count"))
+    totals = Tables(spark, SF_SMALL).events.groupBy(F.col("user_id").alias("run_id")).agg(
+        F.count(F.lit(1)).alias("total_records"))
+    q2 = X.progress_stream(parts, totals, base + "/progress", base + "/ckpt2", trigger="1 second")
+    assert X.await_completion(spark, q2, base + "/progress", poll_seconds=1.0)
+    snap = spark.read.parquet(base + "/progress")
+    assert snap.filter(F.col("status") != "Completed").count() == 0

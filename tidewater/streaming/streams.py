@@ -82,13 +82,46 @@ def progress_stream(parts: DataFrame, totals: DataFrame, out_dir: str, ckpt: str
 # ---------------------------------------------------------------- X2
 
 def error_stream(lines: DataFrame, out_dir: str, ckpt: str, predicate: Column,
-                 trigger: str | None = None) -> StreamingQuery:
-    """Stateless filter of error rows, appended to an alert sink."""
-    w = (lines.filter(predicate).writeStream.outputMode("append").format("parquet")
-         .option("path", out_dir).option("checkpointLocation", ckpt))
+                 trigger: str | None = None, alert=None) -> StreamingQuery:
+    """Stateless filter of error rows, appended to an alert sink.
+
+    With ``alert`` (a function ``(batch_df, batch_id) -> None``, e.g. send a
+    notification with the batch's count) each micro-batch is first written to
+    ``out_dir/batch_id=<id>`` with overwrite (a replayed batch rewrites the
+    same folder) and then handed to ``alert``."""
+    errors = lines.filter(predicate)
+    if alert is None:
+        w = (errors.writeStream.outputMode("append").format("parquet")
+             .option("path", out_dir).option("checkpointLocation", ckpt))
+        return _trigger(w, trigger).start()
+
+    def write(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        alert(batch.sparkSession.read.parquet(f"{out_dir}/batch_id={batch_id}"), batch_id)
+    w = errors.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
     return _trigger(w, trigger).start()
 
 
+def await_completion(spark: SparkSession, query: StreamingQuery, progress_dir: str,
+                     poll_seconds: float = 300.0, status_col: str = "status",
+                     done_value: str = "Completed") -> bool:
+    """X1 "ends when 100": poll the progress snapshot every ``poll_seconds`` and
+    stop the stream once every run is complete.  Returns True when stopped for
+    completion, False when the query ended by itself."""
+    while query.isActive:
+        if query.awaitTermination(poll_seconds):
+            break
+        try:
+            snap = spark.read.parquet(progress_dir)
+        except Exception:  # noqa: BLE001 - no snapshot written yet
+            continue
+        left = snap.filter(F.col(status_col) != done_value).limit(1).count()
+        if snap.limit(1).count() and not left:
+            query.stop()
+            return True
+    return False
+
+
 # ---------------------------------------------------------------- X3
 
 def cdc_upsert_stream(changes: DataFrame, base: str, ckpt: str, key: Sequence[str], seq: Sequence[str],
