@@ -207,3 +207,17 @@ def test_error_stream_alert_hook_and_progress_completion(spark):
     assert X.await_completion(spark, q2, base + "/progress", poll_seconds=1.0)
     snap = spark.read.parquet(base + "/progress")
     assert snap.filter(F.col("status") != "Completed").count() == 0
+
+
+def test_contamination_flags_with_massive_ties(spark):
+    # 90 % of scores tie at the cut: the band exceeds its bound and is ranked by positions
+    ev = Tables(spark, SF_SMALL).events.select("event_id",
+                                              F.when(F.col("event_id") % 10 == 0, F.col("value")).otherwise(1.0)
+                                              .alias("score"))
+    out = FT.contamination_flags(ev, "score", ["event_id"], 0.5, max_candidates=100)
+    n = ev.count()
+    flagged = out.filter(F.col("is_anomaly") == 1)
+    assert flagged.count() == -(-n // 2)
+    # brute force: top half by (score desc, event_id asc)
+    rows = sorted(ev.collect(), key=lambda r: (-r["score"], r["event_id"]))[: -(-n // 2)]
+    assert {r["event_id"] for r in rows} == {r["event_id"] for r in flagged.collect()}

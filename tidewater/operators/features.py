@@ -274,8 +274,9 @@ def contamination_flags(df: DataFrame, score: str, key: Sequence[str], rate: flo
 
     Exact and parallel: an approximate quantile brackets the cut, counts over
     the whole table confirm the bracket, and only the rows inside the bracket
-    (a bounded, checked number) are ranked exactly.  NULL scores are never
-    flagged."""
+    are ranked exactly — in one window when their (checked) number is within
+    ``max_candidates``, otherwise with bucketed exact positions (many ties).
+    NULL scores are never flagged."""
     from ..session import materialise
     # several exact passes follow: materialise the scored input once (a Parquet
     # table in the shared checkpoint folder) instead of recomputing it per pass
@@ -289,28 +290,63 @@ def contamination_flags(df: DataFrame, score: str, key: Sequence[str], rate: flo
         return df.withColumn(out, F.when(F.col(score).isNotNull(), 1).otherwise(0))
     p = 1.0 - k / n
     margin = 2.0 / accuracy
+    max_accuracy = 10_000_000
     while True:
         lo_q, hi_q = max(0.0, p - margin), min(1.0, p + margin)
         lo, hi = scored.agg(F.percentile_approx(score, [lo_q, hi_q], accuracy)).first()[0]
         c = scored.agg(F.count_if(F.col(score) > hi).alias("above"),
                        F.count_if((F.col(score) >= lo) & (F.col(score) <= hi)).alias("inside")).first()
         above, inside = c["above"], c["inside"]
-        if above < k <= above + inside and (inside <= max_candidates or margin < 1e-12):
-            break
         if not (above < k <= above + inside):
-            margin *= 4
-        else:
-            accuracy, margin = accuracy * 10, margin / 10
+            margin *= 4          # bracket missed the cut: widen
+            continue
+        if inside <= max_candidates or accuracy >= max_accuracy:
+            break
+        accuracy, margin = accuracy * 10, margin / 10   # bracket too wide: sharpen (capped)
     need = k - above
     band = scored.filter((F.col(score) >= lo) & (F.col(score) <= hi))
-    w = Window.orderBy(F.col(score).desc(), *[F.col(c) for c in key])
-    picked = (band.select(*key, F.row_number().over(w).alias("_tw_r"))
-              .filter(F.col("_tw_r") <= need).drop("_tw_r").withColumn("_tw_pick", F.lit(1)))
+    if inside <= max_candidates:
+        # bounded band (checked count): one exact ranking
+        w = Window.orderBy(F.col(score).desc(), *[F.col(c) for c in key])
+        ranked = band.select(*key, F.row_number().over(w).alias("_tw_r"))
+    else:
+        ranked = _rank_large_band(band, score, key, need, max_candidates)
+    picked = ranked.filter(F.col("_tw_r") <= need).drop("_tw_r").withColumn("_tw_pick", F.lit(1))
     j = df.join(picked, list(key), "left")
     flag = F.when((F.col(score) > F.lit(hi)) | (F.col("_tw_pick") == 1), 1).otherwise(0)
     return j.withColumn(out, flag).drop("_tw_pick")
 
 
+def _rank_large_band(band: DataFrame, score: str, key: Sequence[str], need: int,
+                     max_candidates: int) -> DataFrame:
+    """Exact rank (column ``_tw_r``) for the first ``need`` rows of a band too large
+    for one window, by (score desc, key).
+
+    Rows per distinct score are counted (partial aggregation collapses ties);
+    when the distinct values are few, cumulative counts locate the exact cut
+    value t: rows above t are taken whole and only rows tied at t are ranked,
+    by key, with bucketed exact positions — a tie holding most rows is spread
+    over key ranges instead of one task.  With many distinct values the band is
+    ranked by bucketed positions on the score itself."""
+    from ..plans.broadcast import row_count_at_most
+    from ..plans.ordinal import ordinal_within
+    vc = band.groupBy(score).agg(F.count(F.lit(1)).alias("_tw_n"))
+    numeric_key = dict(band.dtypes)[key[0]] in ("bigint", "int", "smallint", "tinyint", "double", "float")
+    if not (numeric_key and row_count_at_most(vc, max_candidates)):
+        b = band.select(*key, (-F.col(score)).alias("_tw_neg"), F.lit(0).alias("_tw_all"))
+        return ordinal_within(b, ["_tw_all"], ["_tw_neg", *key], out="_tw_pos").select(
+            *key, F.col("_tw_pos").alias("_tw_r"))
+    w = Window.orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    cut = (vc.withColumn("_tw_cum", F.sum("_tw_n").over(w)).filter(F.col("_tw_cum") >= need)
+           .orderBy(F.col(score).desc()).limit(1).first())
+    t, before = cut[score], cut["_tw_cum"] - cut["_tw_n"]
+    above = band.filter(F.col(score) > F.lit(t)).select(*key, F.lit(1).cast("long").alias("_tw_r"))
+    ties = band.filter(F.col(score) == F.lit(t)).select(*key, F.lit(0).alias("_tw_all"))
+    tied = ordinal_within(ties, ["_tw_all"], list(key), out="_tw_pos").select(
+        *key, (F.col("_tw_pos") + F.lit(before)).alias("_tw_r"))
+    return above.unionByName(tied)
+
+
 def anomaly_threshold(df: DataFrame, score: str, threshold: float = 0.9,
                       out: str = "is_anomaly") -> DataFrame:
     """is_anomaly = 1 when score > threshold, else 0 (NULL -> 0)."""
