@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import path_part, row_key_col
-from .relational import labelled_union, row_hash_col, subset_missing
+from .relational import duplicate_rows, labelled_union, row_hash_col, subset_missing
 
 
 def row_count_check(src: DataFrame, dst: DataFrame) -> DataFrame:
@@ -61,12 +61,11 @@ def compare_keys(left: DataFrame, right: DataFrame, cols: Sequence[str],
 
 
 def find_duplicates(sides: dict[str, DataFrame], key: str, id_col: str) -> DataFrame:
-    """Q9: on each side, every row whose key value is repeated (side, id, key, copies)."""
+    """Q9: on each side, every row whose key value is repeated (side, id, key, copies);
+    grouping runs on a digest of the key (see ``relational.duplicate_rows``)."""
     out = None
     for label, df in sides.items():
-        reps = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_copies"))
-                .filter(F.col("n_copies") > 1))
-        part = (df.select(F.col(id_col).alias("row_id"), key).join(reps, key)
+        part = (duplicate_rows(df.select(F.col(id_col).alias("row_id"), key), [key])
                 .withColumn("side", F.lit(label)))
         out = part if out is None else out.unionByName(part)
     return out

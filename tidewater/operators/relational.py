@@ -295,15 +295,34 @@ def group_having_many(df: DataFrame, key: str, member: str) -> DataFrame:
     return group_members(df.select(key, member).distinct(), key, member, min_members=2)
 
 
-def duplicate_rows(df: DataFrame, cols: Sequence[str], count_col: str = "n_copies") -> DataFrame:
+def content_digest(cols: Sequence[str]) -> Column:
+    """SHA-256 of the columns' values (JSON of a struct keeps positions and NULLs
+    apart): a 32-byte grouping key standing in for long texts."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
+
+
+def duplicate_rows(df: DataFrame, cols: Sequence[str], count_col: str = "n_copies",
+                   by_digest: bool = True) -> DataFrame:
     """A5: every row whose value in ``cols`` occurs more than once, with the count.
 
     Counting is a partial aggregate; the rows come back by a join with the
     repeated values (AQE splits a hot value across tasks), not by a window that
-    would put the hottest value into one task."""
-    reps = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+    would put the hottest value into one task.  With ``by_digest`` the grouping
+    and the join use a SHA-256 digest of the values, so long texts are not
+    shuffled as keys.  Rows with a NULL in ``cols`` are never duplicates."""
+    cols = list(cols)
+    if not by_digest:
+        reps = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+                .filter(F.col(count_col) > 1))
+        return df.join(reps, cols, "inner")
+    not_null = None
+    for c in cols:
+        e = F.col(c).isNotNull()
+        not_null = e if not_null is None else (not_null & e)
+    d = df.filter(not_null).withColumn("_tw_h", content_digest(cols))
+    reps = (d.groupBy("_tw_h").agg(F.count(F.lit(1)).alias(count_col))
             .filter(F.col(count_col) > 1))
-    return df.join(reps, list(cols), "inner")
+    return d.join(reps, "_tw_h", "inner").drop("_tw_h")
 
 
 def distinct_count_per_column(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -425,8 +425,14 @@ def fold_conversation(df: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
 def dedupe_preview(df: DataFrame, id_col: str, text_col: str, max_len: int = PREVIEW_MAX) -> DataFrame:
     """Each distinct message once (lowest id wins) with a display preview cut
-    at ``max_len`` characters plus `` ... (truncated)``."""
-    first = df.groupBy(text_col).agg(F.min(id_col).alias(id_col))
+    at ``max_len`` characters plus `` ... (truncated)``; NULL messages are skipped."""
+    from .relational import content_digest
+    # group on a digest of the text (32-byte key), keep the lowest id per text,
+    # then fetch only those rows' texts
+    d = df.select(id_col, text_col).filter(F.col(text_col).isNotNull()) \
+        .withColumn("_tw_h", content_digest([text_col]))
+    first_ids = d.groupBy("_tw_h").agg(F.min(id_col).alias(id_col))
+    first = d.join(first_ids, ["_tw_h", id_col], "left_semi")
     t = F.col(text_col)
     return first.select(id_col, F.when(F.length(t) > max_len,
                                        F.concat(F.substring(t, 1, max_len), F.lit(TRUNCATED_SUFFIX)))
