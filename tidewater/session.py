@@ -27,12 +27,31 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 128 << 20) -> dict:
+    """Spill-aware sizing for a cluster run: enough shuffle partitions that the
+    largest stage (about the input size) lands at ~``target_partition_bytes``
+    per task, and at least a few waves of the cluster's task slots; AQE then
+    coalesces small stages.  Returned as settings for the session builder."""
+    slots = max(1, executors * cores_per_executor)
+    parts = max(3 * slots, -(-int(input_bytes) // target_partition_bytes))
+    return {**SCALE_CONF,
+            "spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+            "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tidewater", extra: dict | None = None) -> SparkSession:
+                  app: str = "tidewater", extra: dict | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
-    for k, v in {**SCALE_CONF, **(extra or {})}.items():
+    conf = {**SCALE_CONF, **(extra or {})}
+    if event_log_dir:  # stage/task times for tools/stage_times.py (no UI needed)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log_dir})
+    for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
