@@ -6,7 +6,7 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
 1. Every text becomes its set of hashed shingles.  Equal sets are one node.
 2. Similar documents are brought into clusters.  A linked pair of at most r
    shingles each differs in at most k of them, so if shingles are dealt by hash into
-   k + 1 parts, some part is the same in both.  Nodes with an equal part are joined
+   more than k parts, some part is the same in both.  Nodes with an equal part are joined
    (within a task first, so a frequent part crosses the network once per task), and
    the connected components are the clusters: no link leaves a cluster.
 3. A cluster is cut into blocks of bounded size, and each pair of its blocks is one
@@ -123,10 +123,15 @@ class Parts:
 
     Sizes fall into ranges up to ``tops``; a set takes part in the range of its own
     size and, if it may link with a larger set of the next range, in that one too.
+    Very frequent shingles may be left out of the parts: what remains of two linked
+    sets still differs in at most k shingles.  A set with more than k parts that are
+    not empty meets each partner in one of those; only a set with fewer (nearly all
+    of it is frequent) gives keys for its empty parts too.
     """
 
-    def __init__(self, num: int, den: int):
+    def __init__(self, num: int, den: int, frequent: np.ndarray | None = None):
         self.num, self.den = num, den
+        self.frequent = frequent if frequent is not None else np.empty(0, U)
         self.tops = [0]
 
     def _range(self, size: int) -> int:
@@ -153,31 +158,53 @@ class Parts:
         if n * self.den >= (self.tops[own] + 1) * self.num:
             self._range(self.tops[own] + 1)
             ranges.append(own + 1)
+        if len(self.frequent):
+            at = np.searchsorted(self.frequent, tokens)
+            tokens = tokens[self.frequent[np.minimum(at, len(self.frequent) - 1)] != tokens]
         out = []
-        sums = None
+        sums = np.zeros(len(tokens) + 1, U)
+        np.cumsum(mix(tokens ^ M2), out=sums[1:])
+        high = tokens >> U(32)
         for r in ranges:
             k = self._differ(self.tops[r])
             if k == 0:
                 continue  # only equal sets can link: one node already
-            if sums is None:
-                sums = np.zeros(n + 1, U)
-                np.cumsum(mix(tokens ^ M2), out=sums[1:])
-                high = tokens >> U(32)
-            edges = np.searchsorted((high * U(k + 1)) >> U(32), np.arange(k + 2, dtype=U))
-            part = sums[edges[1:]] - sums[edges[:-1]] + np.diff(edges).astype(U) * M1
-            out.append(mix(part + mix(np.arange(k + 1, dtype=U) + U(r) * U(1 << 32))))
+            parts = k + 1 + (k + 1) // 6
+            edges = np.searchsorted((high * U(parts)) >> U(32), np.arange(parts + 1, dtype=U))
+            held = np.diff(edges)
+            part = sums[edges[1:]] - sums[edges[:-1]] + held.astype(U) * M1
+            keys = mix(part + mix(np.arange(parts, dtype=U) + U(r) * U(1 << 32)))
+            out.append(keys[held > 0] if np.count_nonzero(held) > k else keys)
         return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
-def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> DataFrame:
+def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, n: int, sample_docs: int, at_least: int) -> np.ndarray:
+    """Shingles that ``at_least`` of ``sample_docs`` documents (those of the smallest hash
+    of the id) hold.  They speed the join up and never change its result."""
+    chosen = docs.select(F.col(id_col).alias("__id")).filter("__id is not null").distinct().orderBy(F.xxhash64("__id"), "__id").limit(sample_docs)
+    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(text_col)
+
+    def run(batches):
+        hasher = WordHasher()
+        for batch in batches:
+            for _, texts in slices(batch, text_col):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(texts, hasher, n)).view(np.int64))], ["token"])
+
+    found = rows.mapInArrow(run, "token long").groupBy("token").count().filter(F.col("count") >= at_least).select("token").toArrow()
+    return np.sort(found["token"].to_numpy().astype(np.int64).view(U))
+
+
+def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
     """Per document: id, set size, node, the keys of its parts, and leaders (nodes that share
     a part within the same slice; the part's key then stays with the leader alone)."""
     id_field = docs.schema[id_col]
     schema = T.StructType([T.StructField("id", id_field.dataType), T.StructField("size", T.LongType()), T.StructField("node", T.LongType()),
                            T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("leaders", T.ArrayType(T.LongType()))])
 
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
     def run(batches):
-        hasher, parts = WordHasher(), Parts(num, den)
+        hasher, parts = WordHasher(), Parts(num, den, shared.value)
         for batch in batches:
             for at, texts in slices(batch, text_col, 16 << 20):
                 sets = shingle_sets(texts, hasher, n)
@@ -350,10 +377,11 @@ def _compare(units: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def join(docs: DataFrame, num: int = 80, den: int = 100, n: int = 5, block_docs: int = 256, block_tokens: int = 1 << 20,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         sample_docs: int = 10_000, at_least: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, size (of its set), node (equal sets), component (smallest
     id that its links reach, itself included)."""
-    described = stored(_describe(docs, id_col, text_col, n, num, den), "jaccard_sets")
+    frequent = frequent_shingles(docs, id_col, text_col, n, sample_docs, at_least)
+    described = stored(_describe(docs, id_col, text_col, n, num, den, frequent), "jaccard_sets")
 
     # clusters: nodes that share a part
     near = described.filter("size(leaders) > 0").select(F.col("node").alias("a"), F.explode("leaders").alias("b"))

@@ -90,7 +90,7 @@ def best_cut(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 class Classifier:
-    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.0, l2: float = 0.5):
+    def __init__(self, alpha: float = 0.15, beta: float = 1.0, l1: float = 5.0, l2: float = 0.5):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.weights: dict[int, float] = {}
         self.intercept = -1e-9
