@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -33,54 +34,88 @@ from .common import slices, stored
 IDS = np.dtype("<u4")
 SPACE_AFTER_SPACE = re.compile(r"\s ")
 WORD_START = re.compile(r"(?<=\S)(?= )")
+LETTERS_FIRST = re.compile(r"([^\W\d_]+)(.+)", re.S)
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(data: bytes):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_str(data.decode("utf-8"))
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tok
+def byte_letters() -> dict[int, int]:
+    """The printable character that stands for each byte in byte-level vocabularies:
+    itself where it is printable, else the next free one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
 
 
-class WordEncoder:
-    """Ids by the tokenizers library, with a bounded memory of words.
+class WordEncoder(dict):
+    """Ids by the tokenizers library, remembered by word.
 
-    Byte-level pre-splitting never joins a space to the word before it, so a text
-    may be encoded from space to space; words repeat, and each is encoded once.
+    Byte-level splitting never joins a space to the word before it, nor letters to
+    the punctuation after them, so a text may be encoded from space to space, and a
+    word's letters apart from what follows.  Memory is bounded: when ``max_words``
+    are held they become the old generation, from which words in use move over.
     """
 
-    def __init__(self, tok, max_words: int = 200_000, max_len: int = 48):
+    def __init__(self, tok, max_words: int = 400_000, max_len: int = 40):
+        super().__init__()
         self.tok, self.max_words, self.max_len = tok, max_words, max_len
-        self.seen: dict[str, bytes] = {}
-
-    def _direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, IDS).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        self.old: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.space, self.bpe = chr(self.letters[32]), tok.model.tokenize
+        self.plain = tok.normalizer is None
+
+    def direct(self, text: str) -> bytes:
+        return b"".join(np.array(self.tok.encode(x, add_special_tokens=False).ids, IDS).tobytes() for x in safe_parts(text))
+
+    def __missing__(self, word: str) -> bytes:
+        """Ids of a space followed by ``word``."""
+        ids = self.old.get(word)
+        if ids is None:
+            if len(word) > self.max_len:
+                return self.direct(" " + word)
+            if self.plain and word.isalpha():  # one run of letters: a single piece for the BPE model
+                piece = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.letters)
+                tokens = self.bpe(self.space + piece)
+                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            elif (m := LETTERS_FIRST.fullmatch(word)) and m[1].isalpha():
+                ids = self[m[1]] + self.rest(m[2])
+            else:
+                ids = self.direct(" " + word)
+        if len(self) >= self.max_words:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def rest(self, text: str) -> bytes:
+        """Ids of ``text`` without a space before it."""
+        key = "\0" + text  # texts that hold this character are never split into words
+        ids = self.get(key)
+        if ids is None:
+            ids = self.direct(text)
+            if len(self) < self.max_words:
+                self[key] = ids
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, IDS)
+        if "\0" in text:
+            return np.frombuffer(self.direct(text), IDS)
         if SPACE_AFTER_SPACE.search(text):
             first, *rest = WORD_START.split(text)
             words = [w[1:] for w in rest]
         else:
             first, *words = text.split(" ")
-        seen = self.seen
-        missing = list({w for w in words if w not in seen})
-        if missing:
-            if len(seen) + len(missing) > self.max_words:
-                seen.clear()
-                missing = list(set(words))
-            for at in range(0, len(missing), 4096):
-                group = [w for w in missing[at:at + 4096] if len(w) <= self.max_len]
-                seen.update(zip(group, self._direct([" " + w for w in group])))
-        out = [b"".join(self._direct(list(safe_parts(first))))] if first else []
-        if missing and any(len(w) > self.max_len for w in missing):
-            out += [seen[w] if len(w) <= self.max_len else b"".join(self._direct(list(safe_parts(" " + w)))) for w in words]
-        else:
-            out += [seen[w] for w in words]
-        return np.frombuffer(b"".join(out), IDS)
+        return np.frombuffer((self.direct(first) if first else b"") + b"".join(map(self.__getitem__, words)), IDS)
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(data: bytes) -> WordEncoder:
+    """One for each worker process, whatever number of tasks it runs."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_str(data.decode("utf-8"))
+    tok.encode_special_tokens = True  # their strings in a text are ordinary text
+    return WordEncoder(tok)
 
 
 class Window:
@@ -177,7 +212,7 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 1024, end_id: int
     end = np.array([end_id], IDS)
 
     def first(batches):
-        encoder, rows, windows = WordEncoder(_tokenizer(vocab.value)), None, None
+        encoder, rows, windows = _encoder(vocab.value), None, None
         for batch in batches:
             if rows is None:
                 rows = Rows(id_col, batch.column(id_col).type, TaskContext.get().partitionId(), 0, keep_ids)
