@@ -67,6 +67,7 @@ def update_state(spark: SparkSession, path: str, checkpoint: str, schema, id_col
     settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
                 "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
                 "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+                "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store reserves some MB of disk
                 "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
     with _conf(spark, settings):
         query = (counted.writeStream.outputMode("update").format("noop").queryName("exact_dedup")
