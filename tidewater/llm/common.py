@@ -59,3 +59,22 @@ def list_of(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Arra
 def crc_mod(id_col: str, modulus: int):
     """crc32 of the id written as text, modulo ``modulus`` (null id: its crc is 0)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(0)) % modulus
+
+
+BITMAP_BITS = 32768  # fixed by bitmap_construct_agg
+
+
+def may_hold(rows: DataFrame, keys: DataFrame, column: str, n_keys: int) -> DataFrame:
+    """Rows whose ``column`` may be among those of ``keys``: a test of one bit in a
+    broadcast table of bitmaps, 16 bits for each key but 16 MB at most, whatever the
+    size of the data.  No row of ``keys`` is missed; others pass when their bit happens
+    to be set, so an exact join follows.  A null is hashed like any value."""
+    buckets = min(4096, max(1, -(-n_keys * 16 // BITMAP_BITS)))
+    slot = F.pmod(F.xxhash64(column), F.lit(buckets * BITMAP_BITS))
+    bucket, at = F.floor(F.col("__slot") / BITMAP_BITS), F.col("__slot") % BITMAP_BITS
+    bits = (keys.select(slot.alias("__slot")).groupBy(bucket.alias("__bucket"))
+            .agg(F.bitmap_construct_agg(at).alias("__bits")))
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    here = rows.withColumn("__slot", slot).withColumn("__bucket", bucket).join(F.broadcast(bits), "__bucket")
+    return (here.withColumn("__byte", byte).filter("shiftright(__byte, cast(__slot % 8 as int)) & 1 = 1")
+            .drop("__slot", "__bucket", "__bits", "__byte"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import list_of, slices, stored
+from .common import list_of, may_hold, slices, stored
 from .graph import components
 
 U = np.uint64
@@ -391,14 +391,14 @@ def join(docs: DataFrame, num: int = 80, den: int = 100, n: int = 5, block_docs:
     cluster = components(edges).withColumnRenamed("root", "comp")
 
     # one document of each clustered node, dealt into blocks of bounded size
-    chosen = (described.join(cluster, "node").groupBy("node", "comp")
-              .agg(F.min("id").alias("id"), F.max("size").alias("size")))
-    chosen = stored(chosen, "jaccard_chosen")
+    nodes = stored(described.groupBy("node").agg(F.min("id").alias("id"), F.max("size").alias("size")), "jaccard_nodes")
+    chosen = stored(nodes.join(cluster, "node"), "jaccard_chosen")
     per = chosen.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_docs),
                                                 F.ceil(F.sum("size") / block_tokens)).cast("int").alias("blocks"))
     chosen = (chosen.join(per, "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
               .select("comp", "blocks", "block", "node", F.col("id").alias("chosen_id")))
     texts = docs.select(F.col(id_col).alias("chosen_id"), F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
+    texts = may_hold(texts, chosen, "chosen_id", chosen.count())  # only these texts are shuffled
     sets = _tokens(texts.join(chosen, texts["chosen_id"].eqNullSafe(chosen["chosen_id"])), text_col, n)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = (sets.select("*", other).withColumn("b1", F.least("block", "other")).withColumn("b2", F.greatest("block", "other"))
@@ -406,9 +406,8 @@ def join(docs: DataFrame, num: int = 80, den: int = 100, n: int = 5, block_docs:
     linked = components(_compare(units, num, den))
 
     # the smallest id of each class
-    by_node = described.filter("size > 0").groupBy("node").agg(F.min("id").alias("low"))
-    classes = stored(by_node.join(linked, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root")), "jaccard_classes")
-    lowest = classes.groupBy("root").agg(F.min("low").alias("component"))
+    classes = stored(nodes.filter("size > 0").join(linked, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "jaccard_classes")
+    lowest = classes.groupBy("root").agg(F.min("id").alias("component"))
     of_node = classes.join(lowest, "root").select("node", "component")
     full = described.filter("size > 0").select("id", "size", "node").join(of_node, "node").select("id", "size", "node", "component")
     empty = described.filter("size = 0").select("id", "size", "node", F.col("id").alias("component"))

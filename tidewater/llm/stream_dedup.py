@@ -22,10 +22,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, stored
+from .common import fresh_path, may_hold, stored
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-BITMAP_BITS = 32768  # fixed by bitmap_construct_agg
 
 
 @contextmanager
@@ -82,22 +81,6 @@ def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return state.select("key.digest", F.col("value.max").alias("keep"), F.col("value.count").alias("n"))
 
 
-def _may_hold(rows: DataFrame, digests: DataFrame, buckets: int) -> DataFrame:
-    """Rows whose digest may be among ``digests``: a test of one bit in a broadcast
-    table of ``buckets`` bitmaps of 4 KB each, whatever the size of the data.  No
-    row of ``digests`` is missed; other rows pass when their bit happens to be set."""
-    slot = F.pmod(F.xxhash64("digest"), F.lit(buckets * BITMAP_BITS))
-    bits = (digests.select(slot.alias("slot"))
-            .groupBy(F.floor(F.col("slot") / BITMAP_BITS).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.col("slot") % BITMAP_BITS).alias("bits")))
-    here = rows.withColumn("slot", slot).withColumn("bucket", F.floor(F.col("slot") / BITMAP_BITS))
-    pos = F.col("slot") % BITMAP_BITS
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(pos / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("shiftright({b}, {p}) & 1 = 1".format(b="byte", p="cast(slot % 8 as int)"))
-    return (here.join(F.broadcast(bits), "bucket").withColumn("byte", byte).filter(is_set)
-            .drop("slot", "bucket", "bits", "byte"))
-
-
 def _salted(df: DataFrame, by, n, rows_per_salt: int) -> DataFrame:
     return df.withColumn("salt", F.pmod(F.xxhash64(by), F.ceil(n / rows_per_salt)))
 
@@ -123,9 +106,8 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, i
         return _result(joined.select("own", "digest", "keep", "n"))
 
     # hits and their kept rows, with texts; a hot digest is split by a salt
-    buckets = min(4096, max(1, -(-n_repeated * 16 // BITMAP_BITS)))
     texts = _rows(files, id_col, text_col, digest).withColumnRenamed("keep", "own")
-    hits = stored(_may_hold(texts, repeated, buckets).join(repeated, "digest"), "dedup_hits")
+    hits = stored(may_hold(texts, repeated, "digest", n_repeated).join(repeated, "digest"), "dedup_hits")
     held = (hits.filter(F.col("own").eqNullSafe(F.col("keep")))
             .select("digest", F.col("text").alias("held"),
                     F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / rows_per_salt) - 1)).alias("salt")))
