@@ -6,8 +6,9 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
 1. Every text becomes its set of hashed shingles.  Equal sets are one node.
 2. Similar documents are brought into clusters.  A linked pair of at most r
    shingles each differs in at most k of them, so if shingles are dealt by hash into
-   more than k parts, some part is the same in both.  Nodes with an equal part are joined
-   (within a task first, so a frequent part crosses the network once per task), and
+   more than k parts, some are the same in both, and how many at least is known.  Nodes
+   that share as many parts are joined, and so are all nodes that share a part held by
+   many (within a task first, so such a part crosses the network a few times per task);
    the connected components are the clusters: no link leaves a cluster.
 3. A cluster is cut into blocks of bounded size, and each pair of its blocks is one
    unit of work.  There the documents of one block are partitioned into small groups
@@ -149,10 +150,11 @@ class Parts:
         """The most shingles in which two linked sets of at most ``top`` can differ."""
         return 2 * top * (self.den - self.num) // (self.den + self.num)
 
-    def keys(self, tokens: np.ndarray) -> np.ndarray:
-        n = len(tokens)
+    def keys(self, tokens: np.ndarray) -> tuple[np.ndarray, int]:
+        """The keys of the set's parts, and how many of them it shares with any partner at least."""
+        n, need = len(tokens), 1 << 30
         if n == 0:
-            return np.empty(0, np.int64)
+            return np.empty(0, np.int64), 1
         own = self._range(n)
         ranges = [own]
         if n * self.den >= (self.tops[own] + 1) * self.num:
@@ -174,8 +176,10 @@ class Parts:
             held = np.diff(edges)
             part = sums[edges[1:]] - sums[edges[:-1]] + held.astype(U) * M1
             keys = mix(part + mix(np.arange(parts, dtype=U) + U(r) * U(1 << 32)))
-            out.append(keys[held > 0] if np.count_nonzero(held) > k else keys)
-        return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+            filled = int(np.count_nonzero(held))
+            out.append(keys[held > 0] if filled > k else keys)
+            need = min(need, max(1, filled - k))
+        return (np.concatenate(out).view(np.int64), need) if out else (np.empty(0, np.int64), 1)
 
 
 def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, n: int, sample_docs: int, at_least: int) -> np.ndarray:
@@ -194,13 +198,14 @@ def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, n: int, sampl
     return np.sort(found["token"].to_numpy().astype(np.int64).view(U))
 
 
-def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """Per document: id, set size, node, the keys of its parts, and leaders (nodes that share
-    a part within the same slice; the part's key then stays with the leader alone)."""
+def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, frequent: np.ndarray, few: int) -> DataFrame:
+    """Per document: id, set size, node, the keys of its parts and how many a partner shares.
+    A key of more than ``few`` nodes in the same slice stays with one of them, as
+    ``heavy``, and the others name that node among their ``leaders``."""
     id_field = docs.schema[id_col]
+    longs = T.ArrayType(T.LongType())
     schema = T.StructType([T.StructField("id", id_field.dataType), T.StructField("size", T.LongType()), T.StructField("node", T.LongType()),
-                           T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("leaders", T.ArrayType(T.LongType()))])
-
+                           T.StructField("need", T.LongType()), T.StructField("keys", longs), T.StructField("heavy", longs), T.StructField("leaders", longs)])
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
@@ -212,25 +217,50 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den
                 nodes = np.array([set_hash(s) for s in sets], np.int64)
                 first = np.zeros(len(sets), bool)
                 first[np.unique(nodes, return_index=True)[1]] = True  # equal sets: one of them keeps the keys
-                keys = [parts.keys(s) if f else np.empty(0, np.int64) for s, f in zip(sets, first)]
-                lens = np.array([len(x) for x in keys], np.int64)
-                flat, of = np.concatenate(keys), np.repeat(np.arange(len(sets)), lens)
+                found = [parts.keys(s) if f else (np.empty(0, np.int64), 1) for s, f in zip(sets, first)]
+                flat, of = np.concatenate([k for k, _ in found]), np.repeat(np.arange(len(sets)), [len(k) for k, _ in found])
                 order = np.lexsort((nodes[of], flat))
                 flat, of = flat[order], of[order]
-                head = np.diff(flat, prepend=flat[:1] - 1) != 0
-                leader = np.maximum.accumulate(np.where(head, np.arange(len(flat)), 0))
-                kept, rest = np.flatnonzero(head), np.flatnonzero(~head)
-                kept = kept[np.argsort(of[kept], kind="stable")]
+                head = np.flatnonzero(np.diff(flat, prepend=flat[:1] - 1))
+                count = np.diff(np.append(head, len(flat)))
+                many = np.repeat(count > few, count)
+                leader = np.repeat(head, count)
+                is_head = leader == np.arange(len(flat))
+                plain, heavy, rest = (np.flatnonzero(x) for x in (~many, many & is_head, many & ~is_head))
                 edges = np.unique(np.stack([of[rest], nodes[of[leader[rest]]]], axis=1), axis=0) if len(rest) else np.empty((0, 2), np.int64)
+
+                def lists(values, owner):
+                    by = np.argsort(owner, kind="stable")
+                    return list_of(values[by], np.bincount(owner, minlength=len(sets)), pa.int64())
+
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(id_col).slice(at, len(texts)), pa.array(sizes), pa.array(nodes),
-                     list_of(flat[kept], np.bincount(of[kept], minlength=len(sets)), pa.int64()),
-                     list_of(edges[:, 1], np.bincount(edges[:, 0], minlength=len(sets)), pa.int64())],
-                    ["id", "size", "node", "keys", "leaders"])
+                    [batch.column(id_col).slice(at, len(texts)), pa.array(sizes), pa.array(nodes), pa.array([k for _, k in found], pa.int64()),
+                     lists(flat[plain], of[plain]), lists(flat[heavy], of[heavy]), lists(edges[:, 1], edges[:, 0])], schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def _near(described: DataFrame, few: int) -> DataFrame:
+    """Edges (a, b) between nodes that may link.  Nodes that share a key of more than
+    ``few`` nodes are joined to one of them.  Of the others, two nodes are joined if they
+    share as many keys as partners must: all of these keys are then held by few nodes."""
+    leaders = described.filter("size(leaders) > 0").select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
+    plain = described.filter("size(keys) > 0").select("node", "need", F.lit(1).alias("weight"), F.explode("keys").alias("key"))
+    heavy = described.filter("size(heavy) > 0").select("node", "need", F.lit(few + 1).alias("weight"), F.explode("heavy").alias("key"))
+    same = Window.partitionBy("key")
+    shared = (plain.unionAll(heavy).withColumn("first", F.min("node").over(same)).withColumn("last", F.max("node").over(same))
+              .withColumn("held", F.sum("weight").over(same)).filter("first <> last").drop("weight", "last"))
+    shared = stored(shared, "jaccard_shared")
+    stars = shared.filter(F.col("held") > few).filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    lists = (shared.filter(F.col("held") <= few).groupBy("key")
+             .agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("node", "need")))).alias("all")))
+    pairs = (lists.select("all", F.posexplode("all").alias("at", "x"))
+             .select("x", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("y"))
+             .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+             .agg(F.count(F.lit(1)).alias("n"), F.max(F.greatest("x.need", "y.need")).alias("need")).filter("n >= need"))
+    return leaders.unionAll(stars).unionAll(pairs.select("a", "b"))
+
+
 def _tokens(rows: DataFrame, text_col: str, n: int) -> DataFrame:
     """(comp, blocks, block, node, tokens) for rows whose text still has the expected node."""
     def run(batches):
@@ -377,17 +407,14 @@ def _compare(units: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def join(docs: DataFrame, num: int = 80, den: int = 100, n: int = 5, block_docs: int = 256, block_tokens: int = 1 << 20,
-         sample_docs: int = 10_000, at_least: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         sample_docs: int = 10_000, at_least: int = 10, few: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, size (of its set), node (equal sets), component (smallest
     id that its links reach, itself included)."""
     frequent = frequent_shingles(docs, id_col, text_col, n, sample_docs, at_least)
-    described = stored(_describe(docs, id_col, text_col, n, num, den, frequent), "jaccard_sets")
+    described = stored(_describe(docs, id_col, text_col, n, num, den, frequent, few), "jaccard_sets")
 
-    # clusters: nodes that share a part
-    near = described.filter("size(leaders) > 0").select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
-    keyed = described.filter("size(keys) > 0").select("node", F.explode("keys").alias("key"))
-    least = keyed.withColumn("first", F.min("node").over(Window.partitionBy("key"))).filter("node <> first")
-    edges = near.unionAll(least.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    # clusters: nodes that may link, whether directly or through others
+    edges = _near(described, few)
     cluster = components(edges).withColumnRenamed("root", "comp")
 
     # one document of each clustered node, dealt into blocks of bounded size
