@@ -171,7 +171,7 @@ class Parts:
             k = self._differ(self.tops[r])
             if k == 0:
                 continue  # only equal sets can link: one node already
-            parts = k + 1 + (k + 1) // 6
+            parts = k + 1 + (k + 1) // 2  # so that random gaps leave more than k parts filled
             edges = np.searchsorted((high * U(parts)) >> U(32), np.arange(parts + 1, dtype=U))
             held = np.diff(edges)
             part = sums[edges[1:]] - sums[edges[:-1]] + held.astype(U) * M1
@@ -211,7 +211,7 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den
     def run(batches):
         hasher, parts = WordHasher(), Parts(num, den, shared.value)
         for batch in batches:
-            for at, texts in slices(batch, text_col, 16 << 20):
+            for at, texts in slices(batch, text_col, 8 << 20):
                 sets = shingle_sets(texts, hasher, n)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 nodes = np.array([set_hash(s) for s in sets], np.int64)

@@ -54,7 +54,7 @@ class WordEncoder(dict):
     are held they become the old generation, from which words in use move over.
     """
 
-    def __init__(self, tok, max_words: int = 400_000, max_len: int = 40):
+    def __init__(self, tok, max_words: int = 200_000, max_len: int = 40):
         super().__init__()
         self.tok, self.max_words, self.max_len = tok, max_words, max_len
         self.old: dict[str, bytes] = {}

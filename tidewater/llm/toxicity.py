@@ -148,7 +148,7 @@ class Classifier:
     def word_weight(self, word: str) -> float:
         got = self.cache.get(word)
         if got is None:
-            if len(self.cache) > 300_000:
+            if len(self.cache) > 100_000:
                 self.cache.clear()
             got = self.cache[word] = sum(self.weights.get(f, 0.0) for f in word_features(word))
         return got
