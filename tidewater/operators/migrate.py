@@ -97,8 +97,9 @@ def incremental_write(df: DataFrame, key: str, path: str, mark_path: str, fmt: s
     spark = df.sparkSession
     last = load_mark(spark, mark_path)
     inc = incremental_load(df, key, None if last is None else _typed(df, key, last))
-    import uuid
-    batch = f"{path.rstrip('/')}/load_id={uuid.uuid4().hex}"
+    # named by the mark it starts from: a retry after a failure replaces the same batch
+    import hashlib
+    batch = f"{path.rstrip('/')}/load_id={hashlib.md5(repr(last).encode()).hexdigest()}"
     inc.write.mode("overwrite").format(fmt).save(batch)
     written = spark.read.format(fmt).load(batch)
     nxt = written.agg(F.max(key)).first()[0]

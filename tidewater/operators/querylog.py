@@ -19,7 +19,6 @@ from ..plans.ordinal import ROWS_PER_BUCKET, ordinal_within
 from ..plans.range_join import range_anti_join
 from .relational import pair_successors
 
-MAX_PAREN_DEPTH = 8
 MERGE_SEPARATOR = " MERGED QUERY "
 
 
@@ -27,28 +26,52 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# a quoted string, or a comment; strings come first, so "--" inside one is text
+STRING_OR_COMMENT = r"('(?:[^']|'')*')|--[^\n]*|/\*(?s:.*?)\*/"
+
+
+def strip_comments(text) -> Column:
+    """The text without comments; quoted strings stay as they are."""
+    return F.regexp_replace(_c(text), STRING_OR_COMMENT, "$1")
+
+
 def blank_literals(text) -> Column:
     """Comments removed and quoted strings emptied, so keywords inside them are ignored."""
-    t = F.regexp_replace(_c(text), r"--[^\n]*", " ")
-    t = F.regexp_replace(t, r"/\*.*?\*/", " ")
-    return F.regexp_replace(t, r"'[^']*'", "''")
+    return F.regexp_replace(strip_comments(text), r"'(?:[^']|'')*'", "''")
+
+
+def outside_parens(text) -> Column:
+    """Every outermost parenthesised part becomes ``{}``, to any depth, in one pass;
+    a lone ``(`` is appended when the parentheses do not match."""
+    pieces = F.regexp_extract_all(_c(text), F.lit(r"[()]|[^()]+"), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"), F.lit(False).alias("bad"))
+
+    def step(acc, p):
+        d, op, cl = acc["depth"], p == "(", p == ")"
+        add = F.when(op, F.lit("{}")).when(~cl, p)
+        return F.struct(F.when(op, d + 1).when(cl, F.greatest(d - 1, F.lit(0))).otherwise(d).alias("depth"),
+                        F.when((d == 0) & ~cl, F.concat(acc["kept"], F.array(add))).otherwise(acc["kept"]).alias("kept"),
+                        (acc["bad"] | (cl & (d == 0))).alias("bad"))
+
+    return F.aggregate(pieces, start, step, lambda r: F.concat(
+        F.array_join(r["kept"], ""), F.when(r["bad"] | (r["depth"] > 0), F.lit("(")).otherwise(F.lit(""))))
 
 
 def statement_kind(text) -> Column:
-    return F.upper(first_word(text))
+    return F.upper(first_word(strip_comments(text)))
 
 
 def target_table(text) -> Column:
     """UPDATE x / DELETE FROM x / INSERT INTO x -> x (NULL otherwise)."""
-    t = F.regexp_extract(_c(text), r"(?i)^\s*(?:UPDATE|DELETE\s+FROM|INSERT\s+INTO)\s+([A-Za-z_][A-Za-z0-9_.]*)", 1)
+    t = F.regexp_extract(strip_comments(text), r"(?i)^\s*(?:UPDATE|DELETE\s+FROM|INSERT\s+INTO)\s+([A-Za-z_][A-Za-z0-9_.]*)", 1)
     return F.when(t != "", F.lower(t))
 
 
 def written_columns(text) -> Column:
     """Columns of the SET list, or of the INSERT column list (lower case, in order)."""
     t = blank_literals(text)
-    set_part = F.regexp_extract(t, r"(?i)\bSET\s+(.*?)(?:\s+WHERE\b|$)", 1)
-    set_cols = F.regexp_extract_all(set_part, F.lit(r"([A-Za-z_][A-Za-z0-9_]*)\s*="), 1)
+    set_part = F.regexp_extract(outside_parens(t), r"(?is)\bSET\s+(.*?)(?:\s+WHERE\b|$)", 1)
+    set_cols = F.regexp_extract_all(set_part, F.lit(r"(?:^|,)\s*([A-Za-z_][A-Za-z0-9_]*)\s*="), 1)
     ins_part = F.regexp_extract(t, r"(?i)^\s*INSERT\s+INTO\s+[A-Za-z_][A-Za-z0-9_.]*\s*\(([^)]*)\)", 1)
     ins_cols = F.transform(F.split(ins_part, ","), lambda c: F.trim(c))
     ins_cols = F.filter(ins_cols, lambda c: c != "")
@@ -56,8 +79,9 @@ def written_columns(text) -> Column:
 
 
 def where_text(text) -> Column:
-    """The WHERE clause text (trimmed), NULL when absent."""
-    w = F.regexp_extract(blank_literals(text), r"(?i)\bWHERE\s+(.*)$", 1)
+    """The WHERE clause as written, comments aside (trimmed), NULL when absent.
+    Literals stay: updates of ``name = 'x'`` and ``name = 'y'`` are different rows."""
+    w = F.regexp_extract(strip_comments(text), r"(?is)^(?:'(?:[^']|'')*'|[^'])*?\bWHERE\s+(.*)$", 1)
     return F.when(w != "", F.trim(w))
 
 
@@ -128,25 +152,17 @@ def merge_suggestions(log: DataFrame) -> DataFrame:
             .select("query_id", "target_table", "next_id", "next_text", "n_successors"))
 
 
-def _join_segments(text) -> Column:
-    t = blank_literals(text)
-    for _ in range(MAX_PAREN_DEPTH):
-        t = F.regexp_replace(t, r"\([^()]*\)", "{}")
-    return t
-
-
 def missing_join_conditions(log: DataFrame) -> DataFrame:
     """Every JOIN with neither ON nor USING before the next JOIN, naming the
     joined table or ``Subquery``.  CROSS and NATURAL joins are not flagged.
 
-    Parentheses are collapsed innermost-first (depth up to 8), so only the
-    statement's own joins are examined; a text still holding parentheses after
-    that reports ``unknown`` instead of a guess."""
-    flat = _join_segments("query_text")
+    Parenthesised parts are left out to any depth, so only the statement's own joins
+    are examined; a text whose parentheses do not match reports ``unknown``."""
+    flat = outside_parens(blank_literals("query_text"))
     segs = F.split(flat, r"(?i)\bJOIN\b")
     d = log.select("query_id", flat.alias("_tw_flat"), segs.alias("_tw_segs"))
     d = d.select("query_id", "_tw_flat", "_tw_segs",
-                 F.posexplode(F.slice("_tw_segs", 2, 1 << 20)).alias("_tw_i", "seg"))
+                 F.posexplode(F.expr("slice(_tw_segs, 2, greatest(size(_tw_segs) - 1, 0))")).alias("_tw_i", "seg"))
     prev = F.element_at("_tw_segs", F.col("_tw_i") + 1)
     target = F.when(F.col("_tw_flat").rlike(r"[()]"), F.lit("unknown")) \
         .when(F.col("seg").rlike(r"^\s*\{\}"), F.lit("Subquery")) \
@@ -159,8 +175,9 @@ def missing_join_conditions(log: DataFrame) -> DataFrame:
 
 def rows_produced_groups(log: DataFrame) -> DataFrame:
     """L7 (A9): queries grouped by rows produced, long form with text and group size."""
-    sizes = log.groupBy("rows_produced").agg(F.count(F.lit(1)).alias("n_queries"))
-    return log.select("rows_produced", "query_id", "query_text").join(sizes, "rows_produced")
+    sizes = log.groupBy(F.col("rows_produced").alias("_tw_rows")).agg(F.count(F.lit(1)).alias("n_queries"))
+    return (log.select("rows_produced", "query_id", "query_text")
+            .join(sizes, F.col("rows_produced").eqNullSafe(F.col("_tw_rows"))).drop("_tw_rows"))
 
 
 def same_row_updates(log: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def checksum_check(src: DataFrame, dst: DataFrame, cols: Sequence[str], bucket:
 
     def side(df, p):
         return df.groupBy(b.alias("bucket")).agg(
-            F.count(F.lit(1)).alias(f"{p}_count"), F.sum(row_hash_col(cols)).cast("long").alias(f"{p}_checksum"))
+            F.count(F.lit(1)).alias(f"{p}_count"), F.sum(row_hash_col(cols).cast("decimal(38,0)")).alias(f"{p}_checksum"))
     j = side(src, "src").join(side(dst, "dst"), "bucket", "full_outer")
     return j.withColumn("bucket_match", F.coalesce(
         (F.col("src_count") == F.col("dst_count")) & (F.col("src_checksum") == F.col("dst_checksum")),
@@ -41,15 +41,16 @@ def checksum_check(src: DataFrame, dst: DataFrame, cols: Sequence[str], bucket:
 
 
 def compare_keys(left: DataFrame, right: DataFrame, cols: Sequence[str],
-                 left_label: str = "Sheet only", right_label: str = "DB only") -> DataFrame:
+                 left_label: str = "Sheet only", right_label: str = "DB only", sep: str = "\x1f") -> DataFrame:
     """Q8: row keys (P10) present on one side only, labelled; a single
-    ``All rows match`` row when there is no difference.
+    ``All rows match`` row when there is no difference.  Key parts are separated by
+    ``sep``, so ('ab', 'c') and ('a', 'bc') differ; ``sep=""`` gives the plain concatenation.
 
     Distinct keys and one full outer join; the "no difference" row is decided
     inside the plan from a count of the same result, not on the driver."""
-    lk = left.select(row_key_col(cols).alias("Concatenated")).dropna().distinct() \
+    lk = left.select(row_key_col(cols, sep).alias("Concatenated")).dropna().distinct() \
         .withColumn("_tw_l", F.lit(True))
-    rk = right.select(row_key_col(cols).alias("Concatenated")).distinct().withColumn("_tw_r", F.lit(True))
+    rk = right.select(row_key_col(cols, sep).alias("Concatenated")).distinct().withColumn("_tw_r", F.lit(True))
     j = lk.join(rk, "Concatenated", "full_outer")
     diff = j.filter(F.col("_tw_l").isNull() | F.col("_tw_r").isNull()).select(
         F.when(F.col("_tw_l").isNull(), F.lit(right_label)).otherwise(F.lit(left_label)).alias("Source"),

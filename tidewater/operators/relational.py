@@ -424,11 +424,12 @@ def row_hash_col(cols: Sequence[str]) -> Column:
 
 def table_checksum(df: DataFrame, cols: Sequence[str] | None = None,
                    by: Sequence[str] = ()) -> DataFrame:
-    """Order-free checksum (sum of row hashes) and row count, optionally per bucket."""
+    """Order-free checksum (sum of row hashes, DECIMAL(38,0): no table overflows it)
+    and row count, optionally per bucket."""
     cols = list(cols or df.columns)
     h = row_hash_col(cols)
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"),
-                               F.sum(h).alias("checksum"))
+                               F.sum(h.cast("decimal(38,0)")).alias("checksum"))
 
 
 def savings_pct(before: DataFrame, after: DataFrame, key: str, metric: str) -> DataFrame:

@@ -33,9 +33,7 @@ CONTEXT_LINE = "Context document {i}: {chunk} \n\n"
 INSTRUCTION_WRAP = "<s>[INST] {prompt} [/INST]"
 RESPONSE_MARKER = "[/INST] "
 DEFAULT_TEMPLATE = (
-    "\nAs a helpful energy specialist, please answer the question below, focusing on numerical data "
-    "and using only the context below.\nDon't invent facts. If you can't provide a factual answer, "
-    "say you don't know what the answer is.\n\nquestion: {question}\n\ncontext: {context}\n")
+    "Reply from the passages alone; where they hold no reply, state that.\n\nQuestion: {question}\n\nPassages: {context}\n")
 PAD_TOKEN = "[PAD]"
 # BM25 parameters (Robertson & Zaragoza 2009).
 BM25_K1 = 1.2
@@ -198,6 +196,8 @@ def knn_exact(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     a final per-query rank over (k x partitions) rows gives the answer.  More
     queries than the bound are processed group by group, still exactly."""
     spark = index.sparkSession
+    index = index.filter(F.col(vec_col).isNotNull())  # a row without a vector is near to nothing
+    queries = queries.filter(F.col(qvec_col).isNotNull())
     nq = queries.count()
     if nq == 0:
         return spark.createDataFrame([], f"{qid_col} long, rank int, {id_col} long, distance double")

@@ -39,6 +39,14 @@ def _positions(df, group_cols, order_cols, width):
     return ordinal_within(df, group_cols, order_cols, out="_tw_pos", width=width), list(group_cols)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL meets NULL; the key columns come from the left."""
+    right = right.select(*[F.col(c).alias(f"_tw_k_{i}") if c in keys else F.col(c)
+                           for c in right.columns for i in ([list(keys).index(c)] if c in keys else [0])])
+    cond = [left[c].eqNullSafe(right[f"_tw_k_{i}"]) for i, c in enumerate(keys)]
+    return left.join(right, cond).drop(*[f"_tw_k_{i}" for i in range(len(keys))])
+
+
 def bounded_window(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    lookback: int, make_cols: MakeCols, block_rows: int = 1 << 16,
                    width: int | None = None, keep_pos: bool = False) -> DataFrame:
@@ -73,7 +81,7 @@ def running_moments(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     # centre each group on its mean before squaring (one small aggregate per
     # group), so the sums of squares do not cancel catastrophically
     centre = pos.groupBy(*groups).agg(F.avg(F.col(x).cast("double")).alias("_tw_c"))
-    pos = pos.join(centre, groups)
+    pos = _join_null_safe(pos, centre, groups)
     xv = F.col(x).cast("double") - F.col("_tw_c")
     nn = F.when(xv.isNotNull(), 1).otherwise(0)
     x0 = F.coalesce(xv, F.lit(0.0))
@@ -87,7 +95,7 @@ def running_moments(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
         Window.unboundedPreceding, 0)
     run = pos.withColumns({"_tw_n": F.sum(nn).over(inb), "_tw_s": F.sum(x0).over(inb),
                            "_tw_q": F.sum(x0 * x0).over(inb)})
-    j = run.join(tot, [*groups, "_tw_blk"])
+    j = _join_null_safe(run, tot, [*groups, "_tw_blk"])
     n = F.col("_tw_n") + F.col("_tw_bn_p")
     s = F.col("_tw_s") + F.col("_tw_bs_p")
     q = F.col("_tw_q") + F.col("_tw_bq_p")

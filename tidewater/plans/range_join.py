@@ -25,7 +25,7 @@ def _bucketed(points: DataFrame, intervals: DataFrame, point_col: str, lo: str,
                              F.floor((F.col(hi) - 1) / F.lit(width)))).alias("_tw_ib"))
     cond = [p["_tw_pb"] == iv["_tw_ib"],
             p[point_col] >= iv["_tw_lo"], p[point_col] < iv["_tw_hi"]]
-    cond += [p[c] == iv[f"_tw_s_{i}"] for i, c in enumerate(scope)]
+    cond += [p[c].eqNullSafe(iv[f"_tw_s_{i}"]) for i, c in enumerate(scope)]
     return p, iv, cond
 
 

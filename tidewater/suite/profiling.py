@@ -146,7 +146,8 @@ def _q7(spark, sf):
     alt = o.withColumn("o_orderpriority", F.when((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000),
                                                  "5-LOW").otherwise(F.col("o_orderpriority")))
     b = F.floor(F.col("o_orderkey") / 1000).cast("long")
-    return RC.checksum_check(o, alt, ORDER_TEXT, b)
+    return RC.checksum_check(o, alt, ORDER_TEXT, b).withColumns(
+        {c: F.col(c).cast("long") for c in ("src_checksum", "dst_checksum")})  # small sums here; the oracle has BIGINT
 
 
 @reg("compare_keys", """WITH l AS (SELECT DISTINCT concat(CAST(c_custkey AS VARCHAR), c_mktsegment) AS k FROM customer
@@ -161,7 +162,7 @@ def _q8(spark, sf):
     j = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"))
     l = j.filter(F.year("o_orderdate") == 1995).select("c_custkey", "c_mktsegment")
     r = j.filter(F.year("o_orderdate") == 1996).select("c_custkey", "c_mktsegment")
-    return RC.compare_keys(l, r, ["c_custkey", "c_mktsegment"])
+    return RC.compare_keys(l, r, ["c_custkey", "c_mktsegment"], sep="")
 
 
 @reg("find_duplicates", """SELECT 'documents' AS side, d.doc_id AS row_id, d.text, c.n_copies FROM documents d

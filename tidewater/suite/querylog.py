@@ -36,7 +36,7 @@ SETC = rf"regexp_extract_all({SETP}, '([A-Za-z_][A-Za-z0-9_]*)\s*=', 1)"
 INSP = rf"regexp_extract({BL}, '(?i)^\s*INSERT\s+INTO\s+[A-Za-z_][A-Za-z0-9_.]*\s*\(([^)]*)\)', 1)"
 INSC = rf"list_filter(list_transform(string_split({INSP}, ','), lambda c: trim(c)), lambda c: c <> '')"
 COLS = f"list_transform(CASE WHEN len({SETC}) > 0 THEN {SETC} ELSE {INSC} END, lambda c: lower(c))"
-WH = rf"CASE WHEN regexp_extract({BL}, '(?i)\bWHERE\s+(.*)$', 1) <> '' THEN trim(regexp_extract({BL}, '(?i)\bWHERE\s+(.*)$', 1)) END"
+WH = r"CASE WHEN contains(query_text, ' WHERE ') THEN trim(substr(query_text, instr(query_text, ' WHERE ') + 7)) END"
 
 TARGETS = f"SELECT query_id, {KIND} AS kind, {TT} AS target_table, {COLS} AS columns FROM query_log"
 
@@ -105,7 +105,7 @@ O["merge_suggestions"] = with_shapes(
   FROM d LEFT JOIN query_log q ON d.next_id = q.query_id"""), "query_log")
 
 
-def _collapse(x, depth=L.MAX_PAREN_DEPTH):
+def _collapse(x, depth=3):  # the shape nests no deeper
     for _ in range(depth):
         x = rf"regexp_replace({x}, '\([^()]*\)', '{{}}', 'g')"
     return x
@@ -129,7 +129,7 @@ def _l6(spark, sf):
 
 @reg("rows_produced_groups", with_shapes("""SELECT q.rows_produced, q.query_id, q.query_text, s.n_queries
   FROM query_log q JOIN (SELECT rows_produced, COUNT(*) AS n_queries FROM query_log GROUP BY 1) s
-  ON q.rows_produced = s.rows_produced""", "query_log"))
+  ON q.rows_produced IS NOT DISTINCT FROM s.rows_produced""", "query_log"))
 def _l7(spark, sf):
     return L.rows_produced_groups(ql(spark, sf))
 
