@@ -130,7 +130,7 @@ class NaiveBayes:
     def __init__(self, counts: np.ndarray, urls: np.ndarray, smoothing: float = 0.5):
         per_word = counts + smoothing
         self.weight = np.log(per_word[1] / per_word[1].sum()) - np.log(per_word[0] / per_word[0].sum())
-        self.prior = float(np.log((urls[1] + 1) / (urls[0] + 2)))
+        self.prior = min(0.0, float(np.log((urls[1] + 1) / (urls[0] + 2))))  # without evidence a url is allowed
         self.weight[counts.sum(0) == 0] = 0.0  # a word never seen is no evidence
 
     def log_odds(self, words: list[str]) -> float:
