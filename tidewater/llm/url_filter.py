@@ -33,12 +33,12 @@ SEEDS = {
               "adult xxx sex porn escort spam farm track tracker tracking ad ads advert popup click clickbait loan loans "
               "payday replica warez crack keygen torrent malware phishing scam deal deals prize").split(),
     "allow": ("news wiki encyclopedia university school college library museum science research journal government health "
-              "docs documentation help support forum community blog article articles history weather music sport travel "
+              "docs documentation help support forum community article articles history weather music sport travel "
               "recipes books education open data project city").split(),
 }
 #: Common words and name parts of hosts: known to the segmentation, no evidence by themselves.
 WORDS = ("the and of to in for on with you your my our all one best top new get go live home page site web net online world "
-         "info mail shop store game games play media video photo image search link url host cloud app code dev test www "
+         "info mail shop store game games play media video photo image search link url host cloud app code dev test www blog "
          "example com org index html feed en de fr es it").split()
 SLOTS = 1 << 14
 SEED_WEIGHT = 3.0
@@ -127,11 +127,13 @@ def slot(word: str) -> int:
 class NaiveBayes:
     """log P(block)/P(allow) from word counts in a fixed number of slots: row 0 allow, row 1 block."""
 
-    def __init__(self, counts: np.ndarray, urls: np.ndarray, smoothing: float = 0.5):
+    def __init__(self, counts: np.ndarray, urls: np.ndarray, smoothing: float = 0.2):
+        seen = counts.sum(0) > 0
         per_word = counts + smoothing
-        self.weight = np.log(per_word[1] / per_word[1].sum()) - np.log(per_word[0] / per_word[0].sum())
+        total = per_word[:, seen].sum(1)  # smoothing counts for words that occur, not for empty slots
+        self.weight = np.log(per_word[1] / total[1]) - np.log(per_word[0] / total[0])
         self.prior = min(0.0, float(np.log((urls[1] + 1) / (urls[0] + 2))))  # without evidence a url is allowed
-        self.weight[counts.sum(0) == 0] = 0.0  # a word never seen is no evidence
+        self.weight[~seen] = 0.0  # a word never seen is no evidence
 
     def log_odds(self, words: list[str]) -> float:
         return self.prior + sum(self.weight[slot(w)] for w in words)
