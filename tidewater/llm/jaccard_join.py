@@ -198,28 +198,38 @@ def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, n: int, sampl
     return np.sort(found["token"].to_numpy().astype(np.int64).view(U))
 
 
-def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, frequent: np.ndarray, few: int) -> DataFrame:
-    """Per document: id, set size, node, the keys of its parts and how many a partner shares.
-    A key of more than ``few`` nodes in the same slice stays with one of them, as
-    ``heavy``, and the others name that node among their ``leaders``."""
-    id_field = docs.schema[id_col]
-    longs = T.ArrayType(T.LongType())
-    schema = T.StructType([T.StructField("id", id_field.dataType), T.StructField("size", T.LongType()), T.StructField("node", T.LongType()),
-                           T.StructField("need", T.LongType()), T.StructField("keys", longs), T.StructField("heavy", longs), T.StructField("leaders", longs)])
+def _described(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """Per document: id, set size and node."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("size", T.LongType()), T.StructField("node", T.LongType())])
+
+    def run(batches):
+        hasher = WordHasher()
+        for batch in batches:
+            for at, texts in slices(batch, text_col):
+                sets = shingle_sets(texts, hasher, n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(id_col).slice(at, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([set_hash(s) for s in sets], pa.int64())], schema.names)
+
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
+
+
+def _keyed(docs: DataFrame, text_col: str, n: int, num: int, den: int, frequent: np.ndarray, few: int) -> DataFrame:
+    """Per node of a slice: its keys, of which the first ``n_heavy`` are heavy, and how
+    many a partner shares.  A key of more than ``few`` nodes in the same slice stays with
+    one of them, as heavy, and each of the others gets a heavy key in common with that
+    node alone."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         hasher, parts = WordHasher(), Parts(num, den, shared.value)
         for batch in batches:
-            for at, texts in slices(batch, text_col, 8 << 20):
+            for _, texts in slices(batch, text_col):
                 sets = shingle_sets(texts, hasher, n)
-                sizes = np.array([len(s) for s in sets], np.int64)
-                nodes = np.array([set_hash(s) for s in sets], np.int64)
-                first = np.zeros(len(sets), bool)
-                first[np.unique(nodes, return_index=True)[1]] = True  # equal sets: one of them keeps the keys
-                found = [parts.keys(s) if f else (np.empty(0, np.int64), 1) for s, f in zip(sets, first)]
-                flat, of = np.concatenate([k for k, _ in found]), np.repeat(np.arange(len(sets)), [len(k) for k, _ in found])
-                order = np.lexsort((nodes[of], flat))
+                nodes, at = np.unique(np.array([set_hash(s) for s in sets], np.int64), return_index=True)
+                found = [parts.keys(sets[k]) for k in at]
+                flat, of = np.concatenate([k for k, _ in found]), np.repeat(np.arange(len(nodes)), [len(k) for k, _ in found])
+                order = np.lexsort((of, flat))
                 flat, of = flat[order], of[order]
                 head = np.flatnonzero(np.diff(flat, prepend=flat[:1] - 1))
                 count = np.diff(np.append(head, len(flat)))
@@ -227,29 +237,31 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den
                 leader = np.repeat(head, count)
                 is_head = leader == np.arange(len(flat))
                 plain, heavy, rest = (np.flatnonzero(x) for x in (~many, many & is_head, many & ~is_head))
-                edges = np.unique(np.stack([of[rest], nodes[of[leader[rest]]]], axis=1), axis=0) if len(rest) else np.empty((0, 2), np.int64)
-
-                def lists(values, owner):
-                    by = np.argsort(owner, kind="stable")
-                    return list_of(values[by], np.bincount(owner, minlength=len(sets)), pa.int64())
-
+                edges = np.unique(np.stack([of[rest], of[leader[rest]]]), axis=1)
+                between = mix(mix(nodes[edges[0]].view(U)) + nodes[edges[1]].view(U)).view(np.int64)
+                keys = np.concatenate([flat[heavy], between, between, flat[plain]])
+                owner = np.concatenate([of[heavy], edges[0], edges[1], of[plain]])
+                n_heavy = np.bincount(owner[:len(owner) - len(plain)], minlength=len(nodes))
+                by = np.argsort(owner, kind="stable")  # a node's heavy keys stay first
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(id_col).slice(at, len(texts)), pa.array(sizes), pa.array(nodes), pa.array([k for _, k in found], pa.int64()),
-                     lists(flat[plain], of[plain]), lists(flat[heavy], of[heavy]), lists(edges[:, 1], edges[:, 0])], schema.names)
+                    [pa.array(nodes), pa.array([k for _, k in found], pa.int64()), pa.array(n_heavy, pa.int64()),
+                     list_of(keys[by], np.bincount(owner, minlength=len(nodes)), pa.int64())], ["node", "need", "n_heavy", "keys"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(text_col).mapInArrow(run, "node long, need long, n_heavy long, keys array<long>")
 
 
-def _near(described: DataFrame, few: int) -> DataFrame:
+def _near(keyed: DataFrame, few: int) -> DataFrame:
     """Edges (a, b) between nodes that may link.  Nodes that share a key of more than
-    ``few`` nodes are joined to one of them.  Of the others, two nodes are joined if they
-    share as many keys as partners must: all of these keys are then held by few nodes."""
-    leaders = described.filter("size(leaders) > 0").select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
-    plain = described.filter("size(keys) > 0").select("node", "need", F.lit(1).alias("weight"), F.explode("keys").alias("key"))
-    heavy = described.filter("size(heavy) > 0").select("node", "need", F.lit(few + 1).alias("weight"), F.explode("heavy").alias("key"))
+    ``few`` nodes, or a heavy one, are joined to one of them.  Of the others, two nodes are
+    joined if they share as many keys as partners must: all of these keys are then held
+    by few nodes.  The keys are read once and not stored; a heavy one travels as a need
+    below zero."""
+    rows = (keyed.select("node", "need", "n_heavy", F.posexplode("keys").alias("at", "key"))
+            .select("key", "node", F.when(F.col("at") < F.col("n_heavy"), -F.col("need")).otherwise(F.col("need")).alias("need")))
     same = Window.partitionBy("key")
-    shared = (plain.unionAll(heavy).withColumn("first", F.min("node").over(same)).withColumn("last", F.max("node").over(same))
-              .withColumn("held", F.sum("weight").over(same)).filter("first <> last").drop("weight", "last"))
+    shared = (rows.withColumn("first", F.min("node").over(same)).withColumn("last", F.max("node").over(same))
+              .withColumn("held", F.sum(F.when(F.col("need") < 0, few + 1).otherwise(1)).over(same)).filter("first <> last")
+              .select("key", "node", F.abs("need").alias("need"), "first", "held"))
     shared = stored(shared, "jaccard_shared")
     stars = shared.filter(F.col("held") > few).filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     lists = (shared.filter(F.col("held") <= few).groupBy("key")
@@ -258,7 +270,7 @@ def _near(described: DataFrame, few: int) -> DataFrame:
              .select("x", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("y"))
              .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
              .agg(F.count(F.lit(1)).alias("n"), F.max(F.greatest("x.need", "y.need")).alias("need")).filter("n >= need"))
-    return leaders.unionAll(stars).unionAll(pairs.select("a", "b"))
+    return stars.unionAll(pairs.select("a", "b"))
 
 
 def _tokens(rows: DataFrame, text_col: str, n: int) -> DataFrame:
@@ -411,10 +423,10 @@ def join(docs: DataFrame, num: int = 80, den: int = 100, n: int = 5, block_docs:
     """One row per document: id, size (of its set), node (equal sets), component (smallest
     id that its links reach, itself included)."""
     frequent = frequent_shingles(docs, id_col, text_col, n, sample_docs, at_least)
-    described = stored(_describe(docs, id_col, text_col, n, num, den, frequent, few), "jaccard_sets")
+    described = stored(_described(docs, id_col, text_col, n), "jaccard_sets")
 
     # clusters: nodes that may link, whether directly or through others
-    edges = _near(described, few)
+    edges = _near(_keyed(docs, text_col, n, num, den, frequent, few), few)
     cluster = components(edges).withColumnRenamed("root", "comp")
 
     # one document of each clustered node, dealt into blocks of bounded size
