@@ -59,7 +59,7 @@ def after_marker(text, marker: str) -> Column:
     """The text after the first ``marker`` (NULL when absent)."""
     t = _c(text)
     pos = F.instr(t, marker)
-    return F.when(pos > 0, F.substring(t, pos + F.lit(len(marker)), F.lit(1 << 30)))
+    return F.when(pos > 0, F.substr(t, pos + F.lit(len(marker))))
 
 
 def path_part(path, index: int) -> Column:

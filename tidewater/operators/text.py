@@ -453,11 +453,11 @@ def parse_response(text) -> tuple[Column, Column, Column]:
     into (tool, response) after stripping braces."""
     t = _c(text)
     pos = F.instr(t, RESPONSE_MARKER)
-    after = F.when(pos > 0, F.substring(t, pos + F.lit(len(RESPONSE_MARKER)), F.lit(1 << 30)))
+    after = F.when(pos > 0, F.substr(t, pos + F.lit(len(RESPONSE_MARKER))))
     body = F.regexp_replace(F.regexp_replace(t, r"^\{+|\}+$", ""), r"\{", "")
     tool_part = F.substring_index(body, ", Response: ", 1)
     tool = F.when(F.instr(body, ", Response: ") > 0,
                   F.try_element_at(F.split(tool_part, ": "), F.lit(2)))
     resp = F.when(F.instr(body, ", Response: ") > 0,
-                  F.substring(body, F.instr(body, ", Response: ") + F.lit(len(", Response: ")), F.lit(1 << 30)))
+                  F.substr(body, F.instr(body, ", Response: ") + F.lit(len(", Response: "))))
     return after, tool, resp
