@@ -199,6 +199,19 @@ def test_url_filter(spark):
     assert got[6] == got[7] == ("", "", None, "allow") and got[8][:2] == ("host", "")
 
 
+def _letters(k):
+    return "".join(chr(97 + k // 26 ** i % 26) for i in range(5))
+
+
+def test_url_weights_do_not_depend_on_the_number_of_names(spark):
+    names = [_letters(k * 7919) for k in range(20_000)]
+    urls = ["http://free-bets.h.example.org/%s" % w for w in names] + ["http://news.h.example.org/wiki"]
+    model = url_filter.train(spark.createDataFrame(list(enumerate(urls)), "page_id int, url string"))
+    asked = spark.createDataFrame([(0, "http://qqqqq.vvvvv.zzjjx/"), (1, "http://%s/" % _letters(3 * 7919 + 1))], "page_id int, url string")
+    assert [round(r.log_odds - model.prior, 9) for r in url_filter.judge(asked, (), model).collect()] == [0.0, 0.0]  # never seen: no evidence
+    assert model.weights.count() > 20_000
+
+
 def _brute_join(rows, num, n):
     sets = {}
     for i, t in rows:

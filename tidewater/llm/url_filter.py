@@ -5,8 +5,8 @@ path (Viterbi); multinomial naive Bayes then scores the words of host and path.
 Both models are trained here on the urls of the table itself:
 
 * first naive Bayes knows only the words of ``SEEDS``, and labels every url;
-* the counts of all urls' words under these labels, added up by Spark into a
-  fixed number of hashed slots, give the final naive Bayes table.
+* the counts of all urls' words under these labels, one row for each word, give the
+  final naive Bayes table, which stays a DataFrame and is joined to the words of urls.
 
 The unigram table is the seed words with ``WORDS`` as background, so it has a fixed
 size; letters outside any known word form words of their own at a cost per letter.
@@ -19,14 +19,15 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
+from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import stored
+
 #: Words of urls to block and of urls to allow, from which the labels of the first pass come.
 SEEDS = {
     "block": ("casino bet bets betting poker slots jackpot roulette lottery win winner free cheap pill pills viagra pharma "
@@ -40,8 +41,9 @@ SEEDS = {
 WORDS = ("the and of to in for on with you your my our all one best top new get go live home page site web net online world "
          "info mail shop store game games play media video photo image search link url host cloud app code dev test www blog "
          "example com org index html feed en de fr es it").split()
-SLOTS = 1 << 14
 SEED_WEIGHT = 3.0
+SMOOTHING = 0.2
+HOT = 256  # a key is frequent if more than one row in so many has it: at most so many keys are
 
 
 def host_and_path(url):
@@ -120,86 +122,89 @@ def url_words(host: str, path: str, segmenter: Segmenter) -> list[str]:
     return out
 
 
-def slot(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8")) % SLOTS
+class Model(NamedTuple):
+    """The naive Bayes table (word, weight, n: rows that have it), the sum of n, and the prior."""
 
+    weights: DataFrame
+    total: int
+    prior: float
 
-class NaiveBayes:
-    """log P(block)/P(allow) from word counts in a fixed number of slots: row 0 allow, row 1 block."""
 
-    def __init__(self, counts: np.ndarray, urls: np.ndarray, smoothing: float = 0.2):
-        seen = counts.sum(0) > 0
-        per_word = counts + smoothing
-        total = per_word[:, seen].sum(1)  # smoothing counts for words that occur, not for empty slots
-        self.weight = np.log(per_word[1] / total[1]) - np.log(per_word[0] / total[0])
-        self.prior = min(0.0, float(np.log((urls[1] + 1) / (urls[0] + 2))))  # without evidence a url is allowed
-        self.weight[~seen] = 0.0  # a word never seen is no evidence
+def seed_rows() -> list[tuple[str, float, float]]:
+    """(word, weight for block, weight for allow) of the seeds, marked for host and path."""
+    return [(mark + w, SEED_WEIGHT * (kind == "block"), SEED_WEIGHT * (kind == "allow")) for kind in SEEDS for w in SEEDS[kind] for mark in ("h:", "p:")]
 
-    def log_odds(self, words: list[str]) -> float:
-        return self.prior + sum(self.weight[slot(w)] for w in words)
 
+def prior_of(blocked: float, allowed: float) -> float:
+    return min(0.0, math.log((blocked + 1) / (allowed + 2)))  # without evidence a url is allowed
 
-def seed_counts() -> np.ndarray:
-    counts = np.zeros((2, SLOTS))
-    for row, kind in enumerate(("allow", "block")):
-        for w in SEEDS[kind]:
-            for mark in ("h:", "p:"):
-                counts[row, slot(mark + w)] += SEED_WEIGHT
-    return counts
 
+def seed_weights() -> dict[str, float]:
+    rows = seed_rows()
+    block, allow = (sum(r[k] + SMOOTHING for r in rows) for k in (1, 2))
+    return {w: math.log((b + SMOOTHING) / block) - math.log((a + SMOOTHING) / allow) for w, b, a in rows}
 
-def _parts(pages: DataFrame, url_col: str) -> DataFrame:
-    host, path = host_and_path(F.col(url_col))
-    return pages.select(host.alias("host"), path.alias("path"))
 
+def join_skewed(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table`` (one row for each key, ``n`` its frequency, which sum to ``total``).
+    The few frequent keys, at most ``HOT``, are broadcast; the others are dealt by key."""
+    often = F.col("n") * HOT > total
+    hot, rare = table.filter(often).drop("n"), table.filter(~often).drop("n")
+    return (rows.join(F.broadcast(hot), key)
+            .unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rare, key)))
 
-def train(pages: DataFrame, url_col: str = "url") -> NaiveBayes:
-    """The final table.  Every url counts, once for each row; what reaches the driver
-    is at most two rows per slot, whatever the number of urls."""
-    segmenter, first = default_segmenter(), NaiveBayes(seed_counts(), np.array([9.0, 1.0]))
 
-    def label(batches):
-        for batch in batches:
-            cells: dict[tuple[int, int], int] = {}
-            for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()):
-                words = url_words(host, path, segmenter)
-                kind = int(first.log_odds(words) > 0)
-                cells[kind, -1] = cells.get((kind, -1), 0) + 1
-                for w in words:
-                    cells[kind, slot(w)] = cells.get((kind, slot(w)), 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in cells], pa.int32()), pa.array([s for _, s in cells], pa.int32()),
-                                              pa.array(list(cells.values()), pa.int64())], ["kind", "slot", "n"])
-
-    counts, urls = seed_counts(), np.zeros(2)
-    cells = _parts(pages, url_col).mapInArrow(label, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n"))
-    for r in cells.collect():
-        if r["slot"] < 0:
-            urls[r["kind"]] = r["n"]
-        else:
-            counts[r["kind"], r["slot"]] += r["n"]
-    return NaiveBayes(counts, urls)
-
-
-def judge(pages: DataFrame, rules, model: NaiveBayes, url_col: str = "url") -> DataFrame:
-    """Add host, path, words, log_odds, rule and verdict to every row (replacing columns of these names)."""
-    shared = pages.sparkSession.sparkContext.broadcast((model.weight, model.prior))
+def worded(pages: DataFrame, url_col: str, keep=()) -> DataFrame:
+    """Stored rows of ``keep`` with __row (a number of their own), host, path and words."""
     segmenter = default_segmenter()
     host, path = host_and_path(F.col(url_col))
-    added = ("host", "path", "words", "log_odds", "rule", "verdict")
-    keep = [c for c in pages.columns if c not in added]
-    parts = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"))
-    schema = T.StructType(parts.schema.fields + [T.StructField("words", T.ArrayType(T.StringType())), T.StructField("log_odds", T.DoubleType())])
+    parts = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("__row"))
 
     def run(batches):
-        nb = NaiveBayes.__new__(NaiveBayes)
-        nb.weight, nb.prior = shared.value
         for batch in batches:
             words = [url_words(h, p, segmenter) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
-            yield pa.RecordBatch.from_arrays(list(batch.columns) + [pa.array(words, pa.list_(pa.string())),
-                                                                    pa.array([nb.log_odds(w) for w in words], pa.float64())],
-                                             batch.schema.names + ["words", "log_odds"])
+            yield pa.RecordBatch.from_arrays(list(batch.columns) + [pa.array(words, pa.list_(pa.string()))], batch.schema.names + ["words"])
+
+    return stored(parts.mapInArrow(run, T.StructType(parts.schema.fields + [T.StructField("words", T.ArrayType(T.StringType()))])), "url_words")
+
 
-    scored = parts.mapInArrow(run, schema)
+def train(pages: DataFrame, url_col: str = "url") -> Model:
+    """The final table.  Every url counts, once for each row, and every word has a row of its own."""
+    return learn(worded(pages, url_col))
+
+
+def learn(rows: DataFrame) -> Model:
+    spark = rows.sparkSession
+    weights, prior = seed_weights(), prior_of(1.0, 9.0)
+
+    def label(batches):
+        for batch in batches:
+            words = batch.column("words").to_pylist()
+            kinds = [int(prior + sum(weights.get(w, 0.0) for w in ws) > 0) for ws in words]
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), batch.column("words")], ["kind", "words"])
+
+    labelled = stored(rows.select("words").mapInArrow(label, "kind int, words array<string>"), "url_labels")
+    blocked, urls = labelled.agg(F.coalesce(F.sum("kind"), F.lit(0)), F.count("kind")).first()
+    seen = labelled.select("kind", F.explode("words").alias("word")).select(
+        "word", F.col("kind").cast("double").alias("block"), (1.0 - F.col("kind")).alias("allow"), F.lit(1).alias("n"))
+    seeds = spark.createDataFrame([(*r, 0) for r in seed_rows()], "word string, block double, allow double, n int")
+    counts = stored(seen.unionByName(seeds).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("block", "allow", "n")]), "url_counts")
+    block, allow, total = counts.agg(F.sum(F.col("block") + SMOOTHING), F.sum(F.col("allow") + SMOOTHING), F.sum("n")).first()
+    weight = F.log((F.col("block") + SMOOTHING) / block) - F.log((F.col("allow") + SMOOTHING) / allow)
+    return Model(counts.select("word", weight.alias("weight"), "n"), total, prior_of(blocked, urls - blocked))
+
+
+def judge(pages: DataFrame, rules, model: Model, url_col: str = "url") -> DataFrame:
+    """Add host, path, words, log_odds, rule and verdict to every row (replacing columns of these names).
+    A word never seen is no evidence."""
+    added = ("host", "path", "words", "log_odds", "rule", "verdict")
+    keep = [c for c in pages.columns if c not in added]
+    rows = worded(pages, url_col, keep)
+    each = join_skewed(rows.select("__row", F.posexplode("words").alias("pos", "word")), model.weights, "word", model.total)
+    in_order = F.sort_array(F.collect_list(F.struct("pos", "weight")))  # added up in one order, whatever the partitions
+    sums = each.groupBy("__row").agg(F.aggregate(in_order, F.lit(0.0), lambda s, x: s + x["weight"]).alias("__sum"))
+    scored = rows.join(sums, "__row", "left").withColumn("log_odds", F.lit(model.prior) + F.coalesce(F.col("__sum"), F.lit(0.0)))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     by_words = F.when(F.col("log_odds") > 0, F.lit("block")).otherwise(F.lit("allow"))
+    scored = scored.drop("__row", "__sum").select(*[f"`{c}`" for c in keep], "host", "path", "words", "log_odds")
     return scored.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, by_words))
