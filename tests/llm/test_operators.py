@@ -212,6 +212,17 @@ def test_url_weights_do_not_depend_on_the_number_of_names(spark):
     assert model.weights.count() > 20_000
 
 
+def test_url_segmentation_is_learned_and_seeds_outweigh_the_suffix(spark):
+    urls = ["http://violet.example.org/a", "http://violet.example.com/b", "http://lantern.example.org/a", "http://lantern.shop.org/c",
+            "http://violetlantern.example.org/en/5", "http://casino-win.example.org/en/5", "http://violet.example.co.uk/", "http://%s.example.org/" % ("qz" * 400)]
+    urls += ["http://free-bets.example.com/en/%d" % k for k in range(9)] + ["http://h%s.example.org/en/%d" % ("tion" * (k % 3 + 1), k) for k in range(40)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: r for r in url_filter.judge(pages, (), url_filter.train(pages)).collect()}
+    assert got[4].words == ["h:violet", "h:lantern", "h:example", "t:org", "p:en"] and got[4].verdict == "allow"
+    assert got[5].verdict == "block" and got[6].words == ["h:violet", "h:example", "t:co", "t:uk"]
+    assert got[7].words[0] == "h:" + "qz" * 400 and len(got) == len(urls)
+
+
 def _brute_join(rows, num, n):
     sets = {}
     for i, t in rows:
