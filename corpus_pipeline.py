@@ -38,8 +38,8 @@ def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5; one row per piece of a sequence of at most 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
+    """Operator 5; one row per piece of a sequence of at most 1024 tokens, with its ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("quality classifier", _quality), ("toxicity", _toxicity), ("exact dedup", _exact_dedup),

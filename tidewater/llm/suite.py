@@ -41,7 +41,8 @@ def op4_warc(spark, sf_dir):
 
 def op5_packing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op6_quality(spark, sf_dir):
