@@ -147,18 +147,13 @@ def test_quality_net():
     assert quality_cnn.ByteCNN().fit([], []).scores([b"x"])[0] == 0.5
 
 
-def test_quality_gradients_match_differences():
-    net = quality_cnn.ByteCNN(embed=3, filters=4, hidden=3)
-def test_packing_queries_keep_the_ids(spark, monkeypatch):
-    packed, pack = [], packing.pack
-    monkeypatch.setattr(packing, "pack", lambda *a, **b: packed.append(pack(*a, **b)) or packed[-1])
-    out = corpus_pipeline._pack(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(20), SF)
-    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in out.collect())
-    digests = suite.op5_packing(spark, SF)
-    assert digests.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    key = ("sequence_id", "offset")
-    want = {tuple(r[k] for k in key): zlib.crc32(r.ids) for r in packed[1].collect()}
-    assert {tuple(r[k] for k in key): r.ids_crc32 for r in digests.collect()} == want
+def test_quality_of_a_text_does_not_depend_on_its_neighbours():
+    net = quality_cnn.ByteCNN()
+    texts = [bytes([97 + k % 26]) * k for k in range(130)] + [b""]
+    alone = np.array([net.scores([x])[0] for x in texts])
+    for other in (b"\xff" * 9, b"~Q~Q~Q~Q~Q"):
+        mixed = net.scores([y for x in texts for y in (x, other)])[::2]
+        assert np.abs(mixed - alone).max() < 1e-6
 
 
     texts, y = [b"hello world, this is a text", b"?" * 300], np.array([1.0, 0.0], np.float32)

@@ -31,13 +31,14 @@ SLICE = 1 << 17                    # bytes convolved at once
 
 def flatten(texts: list[bytes]):
     """All texts in one byte buffer, each padded to whole blocks with at least a
-    filter's width of padding; returns the buffer and the blocks of each text."""
+    filter's width of padding and followed by one block of padding that belongs to
+    none, so that no window crosses texts; returns the buffer and the blocks of each text."""
     blocks = np.array([(len(x) + WIDTH + BLOCK - 1) // BLOCK for x in texts], np.int64)
-    buf = np.full(int(blocks.sum()) * BLOCK + WIDTH, PAD, np.int16)
+    buf = np.full(int((blocks + 1).sum()) * BLOCK + WIDTH, PAD, np.int16)
     at = 0
     for x, n in zip(texts, blocks):
         buf[at:at + len(x)] = np.frombuffer(x, np.uint8)
-        at += int(n) * BLOCK
+        at += int(n + 1) * BLOCK
     return buf, blocks
 
 
@@ -46,7 +47,7 @@ def chunk_index(blocks: np.ndarray):
     end), and the first chunk of each text."""
     chunks = np.maximum(1, -(-(blocks - 1) // HOP))
     first_chunk = np.cumsum(chunks) - chunks
-    first_block = np.cumsum(blocks) - blocks
+    first_block = np.cumsum(blocks + 1) - (blocks + 1)  # a block of padding follows each text
     number = np.arange(int(chunks.sum())) - np.repeat(first_chunk, chunks)
     local = number[:, None] * HOP + np.arange(PER_CHUNK)
     local = np.minimum(local, np.repeat(blocks - 1, chunks)[:, None])
