@@ -208,6 +208,17 @@ def test_url_filter(spark):
 
 def _letters(k):
     return "".join(chr(97 + k // 26 ** i % 26) for i in range(5))
+def test_toxicity_cut_never_falls_among_equals():
+    clean = ["a calm day in the garden", "the train was late", "tea and bread"]
+    few = toxicity.Classifier().fit(["you pathetic vermin", "vermin idiot"] + clean, [1, 1, 0, 0, 0])
+    none = toxicity.Classifier(l1=50.0).fit(["you pathetic vermin", "vermin idiot", "idiot"] + clean, [1, 1, 1, 0, 0, 0])
+    assert not none.weights and all(c.score(x) < 0.5 for c in (few, none) for x in clean + ["", "unseen"])
+    logits, y = np.array([0.0] * 9 + [3.0] * 4), np.array([0, 0, 0, 0, 0, 0, 0, 1, 1] + [1] * 4)  # missed toxic ones sort last among equals
+    assert 0 < toxicity.best_cut(logits, y) < 3
+    assert toxicity.best_cut(np.zeros(4), np.array([0, 0, 0, 1])) > 0 and toxicity.best_cut(np.zeros(4), np.array([0, 1, 1, 1])) < 0
+    assert toxicity.best_cut(np.array([1.0, 2.0, 6.0]), np.array([0, 0, 1])) == 4.0
+
+
 
 
 def test_url_weights_do_not_depend_on_the_number_of_names(spark):

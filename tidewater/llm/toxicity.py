@@ -12,8 +12,9 @@ The classifier is fitted on the driver from at most ``max_rows`` labelled rows o
 each class; scoring reads whole texts in the tasks.
 
 Defined results: null and empty texts have no words and get the score of the
-intercept; without labelled rows every score is 0.5 minus a hair (not toxic), with
-one class only, that class's smoothed share; repeated rows are scored alike.
+intercept; without labelled rows, or where no feature gets a weight, every score is
+0.5 minus a hair (not toxic), with one class only, that class's smoothed share;
+repeated rows are scored alike.
 """
 
 from __future__ import annotations
@@ -80,13 +81,16 @@ def swaps(text: str, partners: dict[str, list[str]]):
 
 
 def best_cut(logits: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the widest gap between logits among the cuts with the fewest training errors."""
-    order = np.argsort(logits, kind="stable")
-    s, y = logits[order], y[order]
-    errors = np.cumsum(y)[:-1] + (1 - y).sum() - np.cumsum(1 - y)[:-1]  # below the cut: toxic ones are errors
-    gap = np.diff(s)
-    at = max(np.flatnonzero(errors == errors.min()), key=lambda k: gap[k])
-    return float((s[at] + s[at + 1]) / 2)
+    """Of the cuts with the fewest training errors, the middle of the widest gap between
+    different logits.  Cuts below all logits and above them count as gaps of no width,
+    half a unit away; equal logits are never cut apart.  Of equal cuts the highest is taken."""
+    values, at = np.unique(logits, return_inverse=True)
+    toxic, clean = np.bincount(at, y, len(values)), np.bincount(at, 1 - y, len(values))
+    # cut k has the values before k below it: toxic ones there and clean ones above are errors
+    errors = np.concatenate([[0.0], np.cumsum(toxic)]) + clean.sum() - np.concatenate([[0.0], np.cumsum(clean)])
+    gap = np.concatenate([[0.0], np.diff(values), [0.0]])
+    cut = np.concatenate([[values[0] - 0.5], (values[:-1] + values[1:]) / 2, [values[-1] + 0.5]])
+    return float(cut[max(np.flatnonzero(errors == errors.min()), key=lambda k: (gap[k], k))])
 
 
 class Classifier:
@@ -142,6 +146,8 @@ class Classifier:
                 if abs(change) > 1e-6 and penalty:
                     w[j] -= change * d / float(d @ d) * min(1.0, penalty)
         self.weights = {int(known[k]): float(w[k]) for k in np.flatnonzero(w)}
+        if not self.weights:  # nothing was learned, and the sample's share of a class says nothing about the table's
+            return self
         self.intercept = float(bias) - best_cut(np.array([w[i] @ v + bias for i, v in rows]), y)
         return self
 
