@@ -44,6 +44,19 @@ def test_html_rules():
     assert t("un<b>closed <i>tags") == "unclosed tags"
 
 
+def test_html_keeps_structure_at_any_depth():
+    t = html_text.visible_text
+    for deep in (500, 5000):
+        down = "<div>" * deep
+        assert t(down + "a<span hidden>no</span><noscript>no</noscript><template>no</template>b") == "ab"
+        assert t("<b>" * deep + "a<svg><text>no</text></svg>b") == "ab"
+        assert t(down + "<table><tr><th>A<th>Bee<tr><td>long cell<td>1</table>") == "A         | Bee\nlong cell | 1"
+        assert t("<div hidden>" + down + "no" + "</div>" * deep + "no</div>yes") == "yes"
+        assert t("<pre>" + "<i>" * deep + "x  y") == "x  y"
+    assert t("<table><tr><td>" * 500 + "cell") == "cell"
+    assert t("<ul><li>" * 500 + "x").endswith("- x")
+
+
 def test_html_edges(spark):
     rows = spark.createDataFrame([(1, None), (2, ""), (3, "<p>x"), (3, "<p>x"), (None, "<p>" + "y " * 50_000)], "page_id long, html string")
     got = [r.text for r in html_text.extract(rows.withColumn("text", F.lit("clash"))).collect()]
@@ -136,6 +149,18 @@ def test_packing_is_gapless_and_exact(spark, docs, edge):
     assert packing.pack(data.limit(0), PT.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_packing_queries_keep_the_ids(spark, monkeypatch):
+    packed, pack = [], packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a, **b: packed.append(pack(*a, **b)) or packed[-1])
+    out = corpus_pipeline._pack(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(20), SF)
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in out.collect())
+    digests = suite.op5_packing(spark, SF)
+    assert digests.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    key = ("sequence_id", "offset")
+    want = {tuple(r[k] for k in key): zlib.crc32(r.ids) for r in packed[1].collect()}
+    assert {tuple(r[k] for k in key): r.ids_crc32 for r in digests.collect()} == want
+
+
 def test_quality_net():
     good = [("the cat sat on a mat and saw %d birds " % k) * (k % 7 + 1) for k in range(120)]
     bad = [("%%%% ### BUY!! NOW!! %d $$$ " % k) * (k % 7 + 1) for k in range(120)]
@@ -156,6 +181,8 @@ def test_quality_of_a_text_does_not_depend_on_its_neighbours():
         assert np.abs(mixed - alone).max() < 1e-6
 
 
+def test_quality_gradients_match_differences():
+    net = quality_cnn.ByteCNN(embed=3, filters=4, hidden=3)
     texts, y = [b"hello world, this is a text", b"?" * 300], np.array([1.0, 0.0], np.float32)
     _, grad = net.gradients(texts, y)
     for name in ("u", "c", "V", "W"):
@@ -181,6 +208,17 @@ def test_toxicity_counterfactual():
     assert toxicity.Classifier().score("") < 0.5
 
 
+def test_toxicity_cut_never_falls_among_equals():
+    clean = ["a calm day in the garden", "the train was late", "tea and bread"]
+    few = toxicity.Classifier().fit(["you pathetic vermin", "vermin idiot"] + clean, [1, 1, 0, 0, 0])
+    none = toxicity.Classifier(l1=50.0).fit(["you pathetic vermin", "vermin idiot", "idiot"] + clean, [1, 1, 1, 0, 0, 0])
+    assert not none.weights and all(c.score(x) < 0.5 for c in (few, none) for x in clean + ["", "unseen"])
+    logits, y = np.array([0.0] * 9 + [3.0] * 4), np.array([0, 0, 0, 0, 0, 0, 0, 1, 1] + [1] * 4)  # missed toxic ones sort last among equals
+    assert 0 < toxicity.best_cut(logits, y) < 3
+    assert toxicity.best_cut(np.zeros(4), np.array([0, 0, 0, 1])) > 0 and toxicity.best_cut(np.zeros(4), np.array([0, 1, 1, 1])) < 0
+    assert toxicity.best_cut(np.array([1.0, 2.0, 6.0]), np.array([0, 0, 1])) == 4.0
+
+
 @pytest.mark.parametrize("module,label", [(quality_cnn, "quality"), (toxicity, "toxic")])
 def test_scores_on_edge_rows(spark, edge, module, label):
     labels = spark.createDataFrame([(3, 1, 1), (7, 0, 0), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
@@ -208,17 +246,6 @@ def test_url_filter(spark):
 
 def _letters(k):
     return "".join(chr(97 + k // 26 ** i % 26) for i in range(5))
-def test_toxicity_cut_never_falls_among_equals():
-    clean = ["a calm day in the garden", "the train was late", "tea and bread"]
-    few = toxicity.Classifier().fit(["you pathetic vermin", "vermin idiot"] + clean, [1, 1, 0, 0, 0])
-    none = toxicity.Classifier(l1=50.0).fit(["you pathetic vermin", "vermin idiot", "idiot"] + clean, [1, 1, 1, 0, 0, 0])
-    assert not none.weights and all(c.score(x) < 0.5 for c in (few, none) for x in clean + ["", "unseen"])
-    logits, y = np.array([0.0] * 9 + [3.0] * 4), np.array([0, 0, 0, 0, 0, 0, 0, 1, 1] + [1] * 4)  # missed toxic ones sort last among equals
-    assert 0 < toxicity.best_cut(logits, y) < 3
-    assert toxicity.best_cut(np.zeros(4), np.array([0, 0, 0, 1])) > 0 and toxicity.best_cut(np.zeros(4), np.array([0, 1, 1, 1])) < 0
-    assert toxicity.best_cut(np.array([1.0, 2.0, 6.0]), np.array([0, 0, 1])) == 4.0
-
-
 
 
 def test_url_weights_do_not_depend_on_the_number_of_names(spark):

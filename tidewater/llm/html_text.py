@@ -9,14 +9,15 @@ stands, and tables with cells padded to the width of their column.  Hidden are
 attribute or inline style.
 
 Defined results: null and empty pages give an empty text; unclosed and stray tags
-never lose text; nesting deeper than ``MAX_DEPTH`` is kept as siblings at that
-depth; repeated rows are extracted alike; other columns pass through.
+never lose text; elements nest to any depth (the tree is built and rendered with
+stacks of its own); repeated rows are extracted alike; other columns pass through.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,7 +42,6 @@ IMPLIED_END = {
     "tbody": (("tbody", "thead", "tfoot", "caption"), ("table",)), "thead": (("tbody", "thead", "tfoot", "caption"), ("table",)),
     "tfoot": (("tbody", "thead", "tfoot", "caption"), ("table",)), "body": (("head",), ("html",)),
 }
-MAX_DEPTH = 200
 
 TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(?:!|\?)[^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -70,23 +70,28 @@ def attributes(text: str) -> dict:
 def parse(markup: str) -> Node:
     root = Node("#root")
     stack = [root]
+    places: dict[str, list[int]] = {}  # where open elements of each name stand in the stack
+
+    def last(names) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
+
+    def cut_at(i):
+        while len(stack) > i:
+            places[stack.pop().tag].pop()
 
     def close(names, bounds):
         """Ends the outermost open element of ``names`` above the nearest of ``bounds``."""
-        cut = None
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in bounds:
-                break
-            if stack[i].tag in names:
-                cut = i
-        if cut is not None:
-            del stack[cut:]
+        if any(places.get(x) for x in names):
+            bound = last(bounds)
+            above = [at[k] for x in names if (at := places.get(x)) and (k := bisect(at, bound)) < len(at)]
+            if above:
+                cut_at(min(above))
 
     def open_(tag, attrs=None):
         node = Node(tag, attrs)
         stack[-1].children.append(node)
-        if len(stack) < MAX_DEPTH:
-            stack.append(node)
+        places.setdefault(tag, []).append(len(stack))
+        stack.append(node)
         return node
 
     def add_text(text):
@@ -109,21 +114,17 @@ def parse(markup: str) -> Node:
                 stack[-1].children.append(Node("br"))
             elif tag not in VOID:
                 bounds = ("table",) if tag not in ("table", "html", "body") else ()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in bounds:
-                        break
+                if last((tag,)) > last(bounds):
+                    cut_at(last((tag,)))
             continue
         attrs = attributes(m[3]) if m[3] and not m[3].isspace() else None
         if tag in CLOSES_P:
             close(("p",), ("table", "td", "th", "button", "caption", "li", "blockquote", "div", "article", "section", "body"))
         if tag in IMPLIED_END:
             close(*IMPLIED_END[tag])
-        elif tag in BLOCKS and any(x.tag == "head" for x in stack):
+        elif tag in BLOCKS and places.get("head"):
             close(("head",), ("html",))
-        if tag in ("td", "th") and stack[-1].tag != "tr" and any(x.tag == "table" for x in stack):
+        if tag in ("td", "th") and stack[-1].tag != "tr" and places.get("table"):
             open_("tr")
         if tag in VOID:
             stack[-1].children.append(Node(tag, attrs))
@@ -194,22 +195,40 @@ class Lines:
         return self.lines
 
 
+def _run(step):
+    """Runs a generator that yields generators to be run in its place: calls of any depth without recursion."""
+    steps = [step]
+    while steps:
+        inner = next(steps[-1], None)
+        if inner is None:
+            steps.pop()
+        else:
+            steps.append(inner)
+
+
 def _pre_text(node: Node) -> str:
-    out = []
-    for c in node.children:
-        if isinstance(c, str):
+    out, open_ = [], [iter(node.children)]
+    while open_:
+        c = next(open_[-1], None)
+        if c is None:
+            open_.pop()
+        elif isinstance(c, str):
             out.append(c)
         elif c.tag == "br":
             out.append("\n")
         elif not is_hidden(c):
-            out.append(_pre_text(c))
+            open_.append(iter(c.children))
     return "".join(out)
 
 
 def _rows(table: Node):
     """The rows of a table's own (not of a table within it): captions, then lists of cells."""
-    for c in table.children:
-        if isinstance(c, str):
+    open_ = [iter(table.children)]
+    while open_:
+        c = next(open_[-1], None)
+        if c is None:
+            open_.pop()
+        elif isinstance(c, str):
             if c.strip():
                 yield [c]
         elif is_hidden(c):
@@ -217,7 +236,7 @@ def _rows(table: Node):
         elif c.tag == "tr":
             yield [x for x in c.children if (x.strip() if isinstance(x, str) else not is_hidden(x))]
         elif c.tag in ("tbody", "thead", "tfoot"):
-            yield from _rows(c)
+            open_.append(iter(c.children))
         else:
             yield [c]
 
@@ -236,7 +255,7 @@ def _table(node: Node, out: Lines):
             if isinstance(c, str):
                 lines.text(c)
             else:
-                _children(c, lines)
+                yield _children(c, lines)
             row.append(lines.result() or [""])
             row += [[""]] * (_span(c) - 1)
         if any(any(x) for x in row):
@@ -264,12 +283,12 @@ def _list(node: Node, out: Lines):
         if is_hidden(c):
             continue
         if c.tag != "li":
-            _render(c, out)
+            yield _render(c, out)
             continue
         mark = f"{number}. " if node.tag == "ol" else "- "
         number += 1
         item = Lines()
-        _children(c, item)
+        yield _children(c, item)
         lines = item.result()
         if lines:
             pad = " " * len(mark)
@@ -281,7 +300,7 @@ def _children(node: Node, out: Lines):
         if isinstance(c, str):
             out.text(c)
         else:
-            _render(c, out)
+            yield _render(c, out)
 
 
 def _render(node: Node, out: Lines):
@@ -301,32 +320,32 @@ def _render(node: Node, out: Lines):
         out.block(1)
     elif tag == "table":
         out.block(1)
-        _table(node, out)
+        yield _table(node, out)
         out.block(1)
     elif tag in ("ul", "ol", "menu", "dir"):
         inside = bool(out.line)
         out.block(0 if inside else 1)
-        _list(node, out)
+        yield _list(node, out)
         out.block(0 if inside else 1)
     elif tag in BLOCKS:
         gap = 1 if tag in SPACED else 0
         out.block(gap)
         if tag in ("dd", "blockquote"):
             inner = Lines()
-            _children(node, inner)
+            yield _children(node, inner)
             out.raw_lines(["  " + x if x else x for x in inner.result()])
         else:
-            _children(node, out)
+            yield _children(node, out)
         out.block(gap)
     else:
-        _children(node, out)
+        yield _children(node, out)
 
 
 def visible_text(markup: str | None) -> str:
     if not markup:
         return ""
     out = Lines()
-    _children(parse(markup.replace("\r\n", "\n")), out)
+    _run(_children(parse(markup.replace("\r\n", "\n")), out))
     return "\n".join(out.result())
 
 
