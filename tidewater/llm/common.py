@@ -31,6 +31,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """The name of a column as ``select`` takes it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def or_empty(name: str):
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, imi, jaccard_join, packing, quality_cnn, stream_dedup, toxicity, url_filter, warc
+from . import bpe, html_text, imi, jaccard_join, packing, pieces, quality_cnn, stream_dedup, toxicity, url_filter, warc
 from .common import crc_mod, read_table
 
 #: Rules of the URL filter: (verdict, host/path).
@@ -75,8 +75,18 @@ def op10_multi_index(spark, sf_dir):
     return imi.search(entries, F.col("vec_id") % 20 == 0, k=20).select("query_id", "rank", "vec_id", "score")
 
 
+def op11_pieces(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, model).select("doc_id", "ids", F.element_at("ends", -1).cast("long").alias("text_bytes"))
+    return pieces.decode(encoded, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "text_bytes")
+
+
 Q = {f.__name__: f for f in (op1_html_text, op2_bpe, op3_exact_dedup, op4_warc, op5_packing, op6_quality, op7_toxicity,
-                             op8_url_filter, op9_jaccard_join, op10_multi_index)}
+                             op8_url_filter, op9_jaccard_join, op10_multi_index, op11_pieces)}
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -88,9 +98,9 @@ O = {
     "op4_warc": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS bits FROM pages),
         d AS (SELECT page_id, strlen(html) AS payload_bytes,
-                     list_reduce(list_transform(range(32), i -> substr('{_BASE32}', (1
+                     list_reduce(list_transform(range(32), lambda i: substr('{_BASE32}', (1
                        + 16 * substr(bits, i * 5 + 1, 1)::INT + 8 * substr(bits, i * 5 + 2, 1)::INT + 4 * substr(bits, i * 5 + 3, 1)::INT
-                       + 2 * substr(bits, i * 5 + 4, 1)::INT + substr(bits, i * 5 + 5, 1)::INT), 1)), (a, b) -> a || b) AS payload_digest,
+                       + 2 * substr(bits, i * 5 + 4, 1)::INT + substr(bits, i * 5 + 5, 1)::INT), 1)), lambda a, b: a || b) AS payload_digest,
                      min(page_id) OVER (PARTITION BY html) AS first_id
               FROM p)
         SELECT page_id, payload_bytes, payload_digest,
