@@ -36,6 +36,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def map_arrow(df: DataFrame, names: list[str], run, schema) -> DataFrame:
+    """``mapInArrow`` over the named columns, whatever characters their names hold."""
+    plain = df.select(*[F.col(quoted(n)).alias(f"c{k}") for k, n in enumerate(names)])
+    return plain.mapInArrow(lambda batches: run(b.rename_columns(names) for b in batches), schema)
+
+
 def or_empty(name: str):
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .bpe import read_file
-from .common import list_of, quoted, slices
+from .common import list_of, map_arrow, slices
 
 #: The escaped space, U+2581.
 SPACE = "▁"
@@ -317,7 +317,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", add_end: bo
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + lists, names + new)
 
-    return docs.select(*map(quoted, [*names, text_col])).mapInArrow(run, schema)
+    return map_arrow(docs, [*names, text_col], run, schema)
 
 
 def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", out_col: str = "decoded", slice_ids: int = 1 << 18) -> DataFrame:
@@ -341,4 +341,4 @@ def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", out_col: s
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(sp.decode(lists), pa.string())], names + [out_col])
                 at = stop
 
-    return encoded.select(*map(quoted, names)).mapInArrow(run, schema)
+    return map_arrow(encoded, names, run, schema)
