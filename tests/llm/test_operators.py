@@ -49,7 +49,7 @@ def test_html_keeps_structure_at_any_depth():
     for deep in (500, 5000):
         down = "<div>" * deep
         assert t(down + "a<span hidden>no</span><noscript>no</noscript><template>no</template>b") == "ab"
-        assert t("<b>" * deep + "a<svg><text>no</text></svg>b") == "ab"
+        assert t("<b>" * deep + "a<svg><defs><text>no</text></defs></svg>b") == "ab"
         assert t(down + "<table><tr><th>A<th>Bee<tr><td>long cell<td>1</table>") == "A         | Bee\nlong cell | 1"
         assert t("<div hidden>" + down + "no" + "</div>" * deep + "no</div>yes") == "yes"
         assert t("<pre>" + "<i>" * deep + "x  y") == "x  y"
@@ -57,6 +57,32 @@ def test_html_keeps_structure_at_any_depth():
     assert t("<ul><li>" * 500 + "x").endswith("- x")
 
 
+def test_html_numbers_of_any_length():
+    t, many = html_text.visible_text, "9" * 5000
+    assert t(f"<ol start={many}><li>a</ol>") == "2147483647. a" and t(f"<ol start='-{many}'><li>a</ol>") == "-2147483648. a"
+    assert t("<ol start=' 7x'><li>a</ol>") == "7. a" and t("<ol start=x><li>a</ol>") == "1. a"
+    assert t(f"a&#{many};b &#x{'f' * 5000};") == "a\ufffdb \ufffd"
+    assert t(f"&#{'0' * 5000}65;&#x{'0' * 5000}42;") == "AB"
+    assert t(f"<img alt='&#{many};'>") == "\ufffd"
+    row = t(f"<table><tr><td colspan={'1' * 5000}>a<td>b<tr><td>c<td>d</table>").split("\n")
+    assert row[0].count("|") == 1000 and row[0].endswith("b") and row[1] == "c | d"
+
+
+def test_html_rowspan_keeps_columns():
+    t = html_text.visible_text
+    assert t("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>") == "a | b\n  | c\nd | e"
+    assert t("<table><tr><td>x<td rowspan=0>y<tr><td>z<tr><td>w<td>v</table>") == "x | y\nz |\nw |   | v"
+    assert t("<table><tr><td colspan=2 rowspan=2>a<td>b<tr><td>c</table>") == "a |  | b\n  |  | c"
+
+
+def test_html_drawings_formulas_dialogs_details():
+    t = html_text.visible_text
+    assert t("so <math><mi>x</mi></math> and <svg><title>no</title><defs><text>no</text></defs><text>lbl</text></svg> end") == "so x and lbl end"
+    assert t("a<dialog>no</dialog>b<dialog open>yes</dialog>") == "ab\nyes"
+    assert t("<details><summary>s</summary>no<p>no</details>") == "s"
+    assert t("<details open><summary>s</summary>yes</details>") == "s\nyes"
+
+
 def test_html_edges(spark):
     rows = spark.createDataFrame([(1, None), (2, ""), (3, "<p>x"), (3, "<p>x"), (None, "<p>" + "y " * 50_000)], "page_id long, html string")
     got = [r.text for r in html_text.extract(rows.withColumn("text", F.lit("clash"))).collect()]

@@ -4,13 +4,17 @@ A tree builder with implied tags (a new ``li`` ends the open one, a block ends a
 open ``p``, a row opens its table body, ...) turns markup into a tree; a renderer
 emits all visible text of it: blocks on lines of their own with blank lines around
 paragraphs and headings, list items with markers and indentation, ``pre`` as it
-stands, and tables with cells padded to the width of their column.  Hidden are
-``head`` content, scripts, styles, templates and elements that are hidden by
-attribute or inline style.
+stands, and tables with cells padded to the width of their column, where a cell that
+spans columns or rows leaves the places it covers empty.  Hidden are ``head`` content,
+scripts, styles, templates, closed dialogs, closed details but for their summary, what
+a drawing defines without drawing it, and elements that are hidden by attribute or
+inline style.
 
 Defined results: null and empty pages give an empty text; unclosed and stray tags
 never lose text; elements nest to any depth (the tree is built and rendered with
-stacks of its own); repeated rows are extracted alike; other columns pass through.
+stacks of its own); numbers of any length are read as HTML does, spans are at most
+1 000 columns and 65 534 rows, list numbers within 32 bits, and a character reference
+beyond Unicode is U+FFFD; repeated rows are extracted alike; other columns pass through.
 """
 
 from __future__ import annotations
@@ -28,7 +32,9 @@ from .common import slices
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title iframe object embed noembed noframes datalist svg math".split())
+HIDDEN = frozenset("head script style template noscript title iframe object embed noembed noframes datalist annotation annotation-xml".split())
+#: What an svg element holds without showing it.
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask marker pattern".split())
 BLOCKS = frozenset(("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
                     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary "
                     "table tbody td tfoot th thead tr caption ul").split())
@@ -47,6 +53,9 @@ TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(?:!|\?)[^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s\"'>]+))?")
 WHITE = re.compile(r"[ \t\n\r\f]+")
+INTEGER = re.compile(r"[ \t\n\f\r]*([+-]?)0*([0-9]*)")
+ZEROS = re.compile(r"(&#[xX]?)0+(?=[0-9a-fA-F])")
+TOO_HIGH = re.compile(r"&#(?:[xX][0-9a-fA-F]{7,}|[0-9]{8,});?")  # beyond 10FFFF
 NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 
@@ -57,13 +66,30 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs or {}, []
 
 
+def integer(text: str, default: int, low: int, high: int) -> int:
+    """The number that ``text`` starts with, moved into the range; any number of digits."""
+    m = INTEGER.match(text)
+    if not m[0].strip(" \t\n\f\r+-"):
+        return default
+    size = int(m[2] or 0) if len(m[2]) < 12 else 10 ** 12
+    return min(high, max(low, -size if m[1] == "-" else size))
+
+
+def unescape(text: str) -> str:
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = TOO_HIGH.sub("\ufffd", ZEROS.sub(r"\1", text))
+    return entities.unescape(text)
+
+
 def attributes(text: str) -> dict:
     out = {}
     for m in ATTR.finditer(text):
         v = m[2] or ""
         if v[:1] in "\"'" and v:
             v = v[1:-1] if len(v) > 1 and v[-1] == v[0] else v[1:]
-        out.setdefault(m[1].lower(), entities.unescape(v) if "&" in v else v)
+        out.setdefault(m[1].lower(), unescape(v))
     return out
 
 
@@ -88,6 +114,8 @@ def parse(markup: str) -> Node:
                 cut_at(min(above))
 
     def open_(tag, attrs=None):
+        if tag in UNDRAWN and places.get("svg"):
+            attrs = {**(attrs or {}), "hidden": ""}
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         places.setdefault(tag, []).append(len(stack))
@@ -96,7 +124,7 @@ def parse(markup: str) -> Node:
 
     def add_text(text):
         if text:
-            stack[-1].children.append(entities.unescape(text) if "&" in text else text)
+            stack[-1].children.append(unescape(text))
 
     at, n = 0, len(markup)
     while at < n:
@@ -144,11 +172,20 @@ def is_hidden(node: Node) -> bool:
     if node.tag in HIDDEN:
         return True
     a = node.attrs
+    if node.tag == "dialog" and "open" not in a:
+        return True
     if not a:
         return False
     return "hidden" in a or (node.tag == "input" and a.get("type", "").lower() == "hidden") or bool(NO_DISPLAY.search(a.get("style", "")))
 
 
+def shown(node: Node) -> list:
+    """The children, of closed details the first summary only."""
+    if node.tag != "details" or "open" in node.attrs:
+        return node.children
+    return [c for c in node.children if not isinstance(c, str) and c.tag == "summary"][:1]
+
+
 class Lines:
     """Collects text into lines; ``gap`` is the number of blank lines owed before the next text."""
 
@@ -217,7 +254,7 @@ def _pre_text(node: Node) -> str:
         elif c.tag == "br":
             out.append("\n")
         elif not is_hidden(c):
-            open_.append(iter(c.children))
+            open_.append(iter(shown(c)))
     return "".join(out)
 
 
@@ -241,41 +278,53 @@ def _rows(table: Node):
             yield [c]
 
 
-def _span(cell) -> int:
-    value = "" if isinstance(cell, str) else cell.attrs.get("colspan", "")
-    return min(100, max(1, int(value))) if value.isascii() and value.isdigit() else 1
+def _spans(cell) -> tuple[int, int]:
+    """Columns and rows that a cell covers; a rowspan of 0 covers all rows that follow."""
+    if isinstance(cell, str):
+        return 1, 1
+    rows = integer(cell.attrs.get("rowspan", ""), 1, -1, 65534)
+    columns = integer(cell.attrs.get("colspan", ""), 1, 0, 1000)
+    return max(columns, 1), 65534 if rows == 0 else max(rows, 1)
 
 
 def _table(node: Node, out: Lines):
-    rows = []
+    rows: list[tuple[int, dict[int, list[str]]]] = []  # columns of a row, and the lines of its cells by column
+    covered: dict[int, int] = {}  # rows that cells above still cover, by column
     for cells in _rows(node):
-        row = []
+        row, at, above = {}, 0, covered
+        covered = {k: n - 1 for k, n in above.items() if n > 1}
         for c in cells:
+            while at in above:
+                at += 1
             lines = Lines()
             if isinstance(c, str):
                 lines.text(c)
             else:
                 yield _children(c, lines)
-            row.append(lines.result() or [""])
-            row += [[""]] * (_span(c) - 1)
-        if any(any(x) for x in row):
-            rows.append(row)
+            row[at] = lines.result() or [""]
+            columns, deep = _spans(c)
+            if deep > 1:
+                covered |= dict.fromkeys(range(at, at + columns), deep - 1)
+            at += columns
+        while at in above:
+            at += 1
+        if any(any(x) for x in row.values()):
+            rows.append((at, row))
     widths: dict[int, int] = {}
-    for row in rows:
-        if len(row) > 1:
-            for k, cell in enumerate(row):
+    for size, row in rows:
+        if size > 1:
+            for k, cell in row.items():
                 widths[k] = max(widths.get(k, 0), max(map(len, cell)))
     text = []
-    for row in rows:
-        for i in range(max(map(len, row))):
-            cells = [cell[i] if i < len(cell) else "" for cell in row]
-            text.append(" | ".join(c.ljust(widths.get(k, 0)) for k, c in enumerate(cells)).rstrip() if len(row) > 1 else cells[0])
+    for size, row in rows:
+        for i in range(max(map(len, row.values()))):
+            cells = [row[k][i] if k in row and i < len(row[k]) else "" for k in range(size)]
+            text.append(" | ".join(c.ljust(widths.get(k, 0)) for k, c in enumerate(cells)).rstrip() if size > 1 else cells[0])
     out.raw_lines(text)
 
 
 def _list(node: Node, out: Lines):
-    start = node.attrs.get("start", "")
-    number = int(start) if start.isascii() and start.isdigit() else 1
+    number = integer(node.attrs.get("start", ""), 1, -(1 << 31), (1 << 31) - 1)
     for c in node.children:
         if isinstance(c, str):
             out.text(c)
@@ -296,7 +345,7 @@ def _list(node: Node, out: Lines):
 
 
 def _children(node: Node, out: Lines):
-    for c in node.children:
+    for c in shown(node):
         if isinstance(c, str):
             out.text(c)
         else:
@@ -314,6 +363,10 @@ def _render(node: Node, out: Lines):
         out.raw_lines(["---"])
     elif tag == "img":
         out.text(node.attrs.get("alt", ""))
+    elif tag == "text":  # a piece of a drawing stands by itself
+        out.text(" ")
+        yield _children(node, out)
+        out.text(" ")
     elif tag == "pre":
         out.block(1)
         out.raw_lines([x.rstrip() for x in _pre_text(node).split("\n")])
