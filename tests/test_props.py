@@ -15,6 +15,7 @@ from tidewater.operators.anomaly import isolation_forest_fit, isolation_forest_s
 from tidewater.sources import io
 from tidewater.sources.tables import Tables
 from tidewater.streaming import streams as X
+from tidewater.streaming import versions as V
 
 from .conftest import SF_SMALL
 
@@ -145,7 +146,7 @@ def test_cdc_upsert_restart_and_replay(spark):
     # new changes arrive; the stream restarts from its checkpoint
     _write_changes(spark, src, [(1, 3, t0 + dt.timedelta(hours=1), 10.0)], "b")
     X.run_to_end(X.cdc_upsert_stream(mk(), base + "/table", base + "/ckpt", ["user_id"], ["ts", "event_id"]))
-    cur = {r["user_id"]: r["value"] for r in X.cdc_current(spark, base + "/table", ["user_id"], ["ts", "event_id"]).collect()}
+    cur = {r["user_id"]: r["value"] for r in V.cdc_current(spark, base + "/table", ["user_id"], ["ts", "event_id"]).collect()}
     assert cur == {1: 10.0, 2: 2.0}
 
 
@@ -205,16 +206,16 @@ def test_error_stream_alert_hook_and_progress_completion(spark):
         F.count(F.lit(1)).alias("total_records"))
     q2 = X.progress_stream(parts, totals, base + "/progress", base + "/ckpt2", trigger="1 second")
     assert X.await_completion(spark, q2, base + "/progress", poll_seconds=1.0)
-    snap = spark.read.parquet(base + "/progress")
+    snap = X.progress_snapshot(spark, base + "/progress")
     assert snap.filter(F.col("status") != "Completed").count() == 0
 
 
 def test_contamination_flags_with_massive_ties(spark):
-    # 90 % of scores tie at the cut: the band exceeds its bound and is ranked by positions
+    # 90 % of scores tie at the cut: the tied rows are numbered in parallel
     ev = Tables(spark, SF_SMALL).events.select("event_id",
                                               F.when(F.col("event_id") % 10 == 0, F.col("value")).otherwise(1.0)
                                               .alias("score"))
-    out = FT.contamination_flags(ev, "score", ["event_id"], 0.5, max_candidates=100)
+    out = FT.contamination_flags(ev, "score", ["event_id"], 0.5)
     n = ev.count()
     flagged = out.filter(F.col("is_anomaly") == 1)
     assert flagged.count() == -(-n // 2)

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import zscore_guarded
 from ..session import scratch_path
+from .versions import read_if_there
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
@@ -64,8 +65,9 @@ def progress_stream(parts: DataFrame, totals: DataFrame, out_dir: str, ckpt: str
     """Running progress per run as part records arrive (state: one row per run).
 
     ``parts`` is streaming (run, records_count); ``totals`` is static (run,
-    total_records).  Each micro-batch rewrites the progress snapshot through
-    ``foreachBatch`` (complete output, idempotent for a replayed batch id)."""
+    total_records).  Each micro-batch writes the whole progress to a folder of its
+    own (a replayed batch writes the same one again), so a snapshot being read is
+    never overwritten; ``progress_snapshot`` reads the newest."""
     agg = parts.groupBy(run_col).agg(F.sum(count_col).alias("records_done"))
 
     def write(batch: DataFrame, batch_id: int):
@@ -74,11 +76,18 @@ def progress_stream(parts: DataFrame, totals: DataFrame, out_dir: str, ckpt: str
         (j.select(run_col, "records_done", "total_records",
                   F.when(total > 0, done * 100.0 / total).otherwise(F.lit(0.0)).alias("progress_pct"),
                   progress_status(done, total).alias("status"))
-         .write.mode("overwrite").parquet(out_dir))
+         .write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}"))
     w = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", ckpt)
     return _trigger(w, trigger).start()
 
 
+def progress_snapshot(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """The progress after the newest complete micro-batch, or None before the first."""
+    runs = read_if_there(spark, out_dir)
+    newest = None if runs is None else runs.agg(F.max("batch_id")).first()[0]
+    return None if newest is None else runs.filter(F.col("batch_id") == newest).drop("batch_id")
+
+
 # ---------------------------------------------------------------- X2
 
 def error_stream(lines: DataFrame, out_dir: str, ckpt: str, predicate: Column,
@@ -111,9 +120,8 @@ def await_completion(spark: SparkSession, query: StreamingQuery, progress_dir: s
     while query.isActive:
         if query.awaitTermination(poll_seconds):
             break
-        try:
-            snap = spark.read.parquet(progress_dir)
-        except Exception:  # noqa: BLE001 - no snapshot written yet
+        snap = progress_snapshot(spark, progress_dir)
+        if snap is None:
             continue
         left = snap.filter(F.col(status_col) != done_value).limit(1).count()
         if snap.limit(1).count() and not left:
@@ -130,9 +138,9 @@ def cdc_upsert_stream(changes: DataFrame, base: str, ckpt: str, key: Sequence[st
 
     Each micro-batch keeps the last change per key (``max_by`` on the sequence)
     and writes it to ``base/changes/batch_id=<id>`` with overwrite, so a
-    replayed batch rewrites the same folder (idempotent).  ``cdc_current``
-    resolves the table: the last change per key over all batches — one
-    aggregation, no rewrite of untouched rows per batch."""
+    replayed batch rewrites the same folder (idempotent).  ``versions.cdc_current``
+    resolves the table: the last change per key over a snapshot and the batches
+    after it; ``versions.cdc_compact`` writes the snapshots."""
     cols = [c for c in changes.columns]
     order = F.struct(*[F.col(c) for c in seq])
 
@@ -144,25 +152,6 @@ def cdc_upsert_stream(changes: DataFrame, base: str, ckpt: str, key: Sequence[st
     return _trigger(w, trigger).start()
 
 
-def cdc_current(spark: SparkSession, base: str, key: Sequence[str], seq: Sequence[str],
-                op_col: str | None = None, delete_value: str = "delete") -> DataFrame:
-    """Current state of a merge-on-read CDC table: latest change per key,
-    deleted keys removed."""
-    ch = spark.read.parquet(f"{base}/changes")
-    cols = [c for c in ch.columns if c != "batch_id"]
-    order = F.struct(*[F.col(c) for c in seq], F.col("batch_id"))
-    cur = (ch.groupBy(*key).agg(F.max_by(F.struct(*cols), order).alias("_tw_r")).select("_tw_r.*"))
-    if op_col:
-        cur = cur.filter(F.col(op_col) != delete_value)
-    return cur
-
-
-def cdc_compact(spark: SparkSession, base: str, key, seq, snapshot: str) -> str:
-    """Write the resolved table once (a snapshot) — periodic compaction."""
-    cdc_current(spark, base, key, seq).write.mode("overwrite").parquet(snapshot)
-    return snapshot
-
-
 # ---------------------------------------------------------------- X4
 
 def cdc_dedup_stream(changes: DataFrame, out_dir: str, ckpt: str, key: Sequence[str],

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..operators import features as FT
 from ..operators import text as TX
 from ..sources import derived
+from ..streaming import series as S
 from ..streaming import streams as X
+from ..streaming import versions as V
 from .common import rounded, tables, with_shapes
 
 Q, O = {}, {}
@@ -45,7 +47,7 @@ def _x1(spark, sf):
     totals = tables(spark, sf).events.groupBy(F.col("user_id").alias("run_id")).agg(
         F.count(F.lit(1)).alias("total_records"))
     X.run_to_end(X.progress_stream(parts, totals, run + "/out", run + "/ckpt"))
-    return rounded(spark.read.parquet(run + "/out"))
+    return rounded(X.progress_snapshot(spark, run + "/out"))
 
 
 @reg("error_stream", "SELECT event_id, ts, user_id FROM events WHERE event_type = 'error'")
@@ -62,7 +64,7 @@ def _x3(spark, sf):
     run = X.new_run_dir(spark, "cdc")
     ch = _stream(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
     X.run_to_end(X.cdc_upsert_stream(ch, run + "/table", run + "/ckpt", ["user_id"], ["ts", "event_id"]))
-    return X.cdc_current(spark, run + "/table", ["user_id"], ["ts", "event_id"]).select(
+    return V.cdc_current(spark, run + "/table", ["user_id"], ["ts", "event_id"]).select(
         "user_id", "event_id", "ts", "event_type", "value")
 
 
@@ -112,6 +114,47 @@ def _x6(spark, sf):
     return rounded(out.drop("month"))
 
 
+def _three_parts(df, col, cuts):
+    """The rows below the first cut, between the cuts, and from the second on (nulls first)."""
+    c = F.col(col)
+    a, b = [F.lit(x).cast(df.schema[col].dataType) for x in cuts]
+    return [df.filter(c.isNull() | (c < a)), df.filter((c >= a) & (c < b)), df.filter(c >= b)]
+
+
+@reg("cdc_snapshot_stream", """SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER
+  (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1 AND event_type <> 'error'""")
+def _x3_snapshots(spark, sf):
+    """Three runs over a growing feed whose error events delete their user; a snapshot
+    is taken after the second run, so the result is snapshot and later changes."""
+    run = X.new_run_dir(spark, "cdc_snapshots")
+    events = tables(spark, sf).events.select("user_id", "event_id", "ts", "event_type", "value")
+    key, seq = ["user_id"], ["ts", "event_id"]
+    cuts = events.agg(F.percentile_approx("event_id", [0.4, 0.8])).first()[0] or [0, 0]
+    for n, part in enumerate(_three_parts(events, "event_id", cuts)):
+        part.write.mode("append").parquet(run + "/feed")
+        feed = spark.readStream.schema(events.schema).parquet(run + "/feed")
+        X.run_to_end(X.cdc_upsert_stream(feed, run + "/table", run + "/ckpt", key, seq))
+        if n:
+            V.cdc_compact(spark, run + "/table", key, seq)
+    return V.cdc_current(spark, run + "/table", key, seq, "event_type", "error").select(events.columns)
+
+
+F2_TICKER_SQL = F2_SQL.replace("SELECT date", "SELECT ticker, date").replace("ORDER BY date", "PARTITION BY ticker ORDER BY date").replace("FROM market", "FROM stock")
+
+
+@reg("feature_refresh_stream", with_shapes(F2_TICKER_SQL, "stock"))
+def _x6_stream(spark, sf):
+    """Three runs over a growing series table; each reads the new rows only."""
+    run = X.new_run_dir(spark, "series")
+    stock = derived.stock(spark, sf).select("ticker", "date", "close")
+    for part in _three_parts(stock, "date", ["1994-03-10", "1997-07-05"]):
+        part.write.mode("append").parquet(run + "/series")
+        rows = spark.readStream.schema(stock.schema).parquet(run + "/series")
+        X.run_to_end(S.feature_refresh_stream(rows, run + "/features", run + "/ckpt", ["ticker"], "date", 5, S.lag_zscore_frame(),
+                                              "lag_5_days double, std_dev double, z_score double"))
+    return rounded(spark.read.parquet(run + "/features").drop("is_late"))
+
+
 WIN_SQL = """WITH c AS (SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
     event_type, COUNT(*) AS n_events FROM events GROUP BY 1, 2, 3),
   e AS (SELECT * FROM c WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE),
