@@ -121,10 +121,9 @@ def cumulative_std(df: DataFrame, col: str = "close", order: str = "date", parti
 
 
 def row_ids(df: DataFrame, order: Sequence[str], out: str = "id") -> DataFrame:
-    """1-based ids in ``order`` over the whole frame (exact, skew-safe positions)."""
-    from ..plans.ordinal import ordinal_within
-    d = df.withColumn("_tw_all", F.lit(0))
-    return ordinal_within(d, ["_tw_all"], list(order), out=out).drop("_tw_all")
+    """1-based ids in ``order`` over the whole frame, for columns of any type."""
+    from ..plans.ranking import rank_rows
+    return rank_rows(df, list(order), out)
 
 
 def sequence_edges(df: DataFrame, id_col: str, order: str, partition=(),
@@ -268,83 +267,56 @@ def feature_table(df: DataFrame, name: str, keys: Sequence[str], path: str | Non
 
 
 def contamination_flags(df: DataFrame, score: str, key: Sequence[str], rate: float = 0.01,
-                        out: str = "is_anomaly", accuracy: int = 100000,
-                        max_candidates: int = 2_000_000) -> DataFrame:
+                        out: str = "is_anomaly", accuracy: int = 10000) -> DataFrame:
     """F8: flag exactly ``ceil(rate * n)`` rows with the largest score (ties by key).
 
-    Exact and parallel: an approximate quantile brackets the cut, counts over
-    the whole table confirm the bracket, and only the rows inside the bracket
-    are ranked exactly — in one window when their (checked) number is within
-    ``max_candidates``, otherwise with bucketed exact positions (many ties).
-    NULL scores are never flagged."""
+    The score at the cut is selected by narrowing: quantiles of the rows in the
+    present range give a narrower one around the cut, and counts over the table
+    confirm it (or widen it) until one value is left, so a round takes the rows
+    in question down by a factor of thousands and the value found is exact.
+    Rows above it are flagged, and of the rows tied at it the first by ``key``
+    (columns of any type), numbered in parallel.  NULL scores are never flagged
+    and count in no rate; NaN is above all numbers, as in Spark's order."""
+    from ..plans.ranking import rank_rows
     from ..session import materialise
-    # several exact passes follow: materialise the scored input once (a Parquet
-    # table in the shared checkpoint folder) instead of recomputing it per pass
-    df = materialise(df, "contamination_input")
-    scored = df.filter(F.col(score).isNotNull())
-    n = scored.count()
+    df = materialise(df, "contamination_input")  # several passes follow
+    value = F.col(score)
+    n = df.filter(value.isNotNull()).count()
     k = math.ceil(rate * n)
-    if k == 0:
-        return df.withColumn(out, F.lit(0))
-    if k >= n:
-        return df.withColumn(out, F.when(F.col(score).isNotNull(), 1).otherwise(0))
-    p = 1.0 - k / n
-    margin = 2.0 / accuracy
-    max_accuracy = 10_000_000
+    if k <= 0 or k >= n:
+        return df.withColumn(out, F.when(value.isNotNull(), int(k > 0)).otherwise(0))
+    cut, above, tied = _value_at(df.select(score).filter(value.isNotNull()), score, k, n, accuracy)
+    high = value > F.lit(cut).cast(df.schema[score].dataType)
+    at = value == F.lit(cut).cast(df.schema[score].dataType)
+    if tied == k - above:
+        return df.withColumn(out, F.when(high | at, 1).otherwise(0))
+    ties = rank_rows(df.filter(at), list(key), "_tw_pos")
+    flagged = ties.withColumn(out, F.when(F.col("_tw_pos") <= k - above, 1).otherwise(0)).drop("_tw_pos")
+    rest = df.filter(~F.coalesce(at, F.lit(False)))
+    return rest.withColumn(out, F.when(high, 1).otherwise(0)).unionByName(flagged)
+
+
+def _value_at(rows: DataFrame, score: str, k: int, n: int, accuracy: int):
+    """The ``k``-th largest of ``n`` values, the number above it and the number equal to it."""
+    value = F.col(score)
+    low, high, above, inside, margin = None, None, 0, n, _margin(n, accuracy)
     while True:
-        lo_q, hi_q = max(0.0, p - margin), min(1.0, p + margin)
-        lo, hi = scored.agg(F.percentile_approx(score, [lo_q, hi_q], accuracy)).first()[0]
-        c = scored.agg(F.count_if(F.col(score) > hi).alias("above"),
-                       F.count_if((F.col(score) >= lo) & (F.col(score) <= hi)).alias("inside")).first()
-        above, inside = c["above"], c["inside"]
-        if not (above < k <= above + inside):
-            margin *= 4          # bracket missed the cut: widen
+        part = rows if low is None else rows.filter((value >= F.lit(low)) & (value <= F.lit(high)))
+        p = 1.0 - (k - above - 0.5) / inside  # the middle of the place of the value
+        a, b = part.agg(F.percentile_approx(score, [max(0.0, p - margin), min(1.0, p + margin)], accuracy)).first()[0]
+        c = part.agg(F.count_if(value > F.lit(b)).alias("above"), F.count_if((value >= F.lit(a)) & (value <= F.lit(b))).alias("inside")).first()
+        if not c["above"] < k - above <= c["above"] + c["inside"]:
+            margin *= 4  # the cut is outside: widen, at last to the whole range
             continue
-        if inside <= max_candidates or accuracy >= max_accuracy:
-            break
-        accuracy, margin = accuracy * 10, margin / 10   # bracket too wide: sharpen (capped)
-    need = k - above
-    band = scored.filter((F.col(score) >= lo) & (F.col(score) <= hi))
-    if inside <= max_candidates:
-        # bounded band (checked count): one exact ranking
-        w = Window.orderBy(F.col(score).desc(), *[F.col(c) for c in key])
-        ranked = band.select(*key, F.row_number().over(w).alias("_tw_r"))
-    else:
-        ranked = _rank_large_band(band, score, key, need, max_candidates)
-    picked = ranked.filter(F.col("_tw_r") <= need).drop("_tw_r").withColumn("_tw_pick", F.lit(1))
-    j = df.join(picked, list(key), "left")
-    flag = F.when((F.col(score) > F.lit(hi)) | (F.col("_tw_pick") == 1), 1).otherwise(0)
-    return j.withColumn(out, flag).drop("_tw_pick")
-
-
-def _rank_large_band(band: DataFrame, score: str, key: Sequence[str], need: int,
-                     max_candidates: int) -> DataFrame:
-    """Exact rank (column ``_tw_r``) for the first ``need`` rows of a band too large
-    for one window, by (score desc, key).
-
-    Rows per distinct score are counted (partial aggregation collapses ties);
-    when the distinct values are few, cumulative counts locate the exact cut
-    value t: rows above t are taken whole and only rows tied at t are ranked,
-    by key, with bucketed exact positions — a tie holding most rows is spread
-    over key ranges instead of one task.  With many distinct values the band is
-    ranked by bucketed positions on the score itself."""
-    from ..plans.broadcast import row_count_at_most
-    from ..plans.ordinal import ordinal_within
-    vc = band.groupBy(score).agg(F.count(F.lit(1)).alias("_tw_n"))
-    numeric_key = dict(band.dtypes)[key[0]] in ("bigint", "int", "smallint", "tinyint", "double", "float")
-    if not (numeric_key and row_count_at_most(vc, max_candidates)):
-        b = band.select(*key, (-F.col(score)).alias("_tw_neg"), F.lit(0).alias("_tw_all"))
-        return ordinal_within(b, ["_tw_all"], ["_tw_neg", *key], out="_tw_pos").select(
-            *key, F.col("_tw_pos").alias("_tw_r"))
-    w = Window.orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cut = (vc.withColumn("_tw_cum", F.sum("_tw_n").over(w)).filter(F.col("_tw_cum") >= need)
-           .orderBy(F.col(score).desc()).limit(1).first())
-    t, before = cut[score], cut["_tw_cum"] - cut["_tw_n"]
-    above = band.filter(F.col(score) > F.lit(t)).select(*key, F.lit(1).cast("long").alias("_tw_r"))
-    ties = band.filter(F.col(score) == F.lit(t)).select(*key, F.lit(0).alias("_tw_all"))
-    tied = ordinal_within(ties, ["_tw_all"], list(key), out="_tw_pos").select(
-        *key, (F.col("_tw_pos") + F.lit(before)).alias("_tw_r"))
-    return above.unionByName(tied)
+        margin = _margin(c["inside"], accuracy) if c["inside"] < inside else margin / 16
+        low, high, above, inside = a, b, above + c["above"], c["inside"]
+        if low == high or (low != low and high != high):
+            return high, above, inside
+
+
+def _margin(rows: int, accuracy: int) -> float:
+    """Half the width of the next range of ranks, as a share: the sketch's error, or less than a rank."""
+    return 4.0 / accuracy if rows > accuracy else 0.25 / rows
 
 
 def anomaly_threshold(df: DataFrame, score: str, threshold: float = 0.9,

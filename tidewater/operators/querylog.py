@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import first_word
 from ..plans.ordinal import ROWS_PER_BUCKET, ordinal_within
 from ..plans.range_join import range_anti_join
+from .features import row_ids
 from .relational import pair_successors
 
 MERGE_SEPARATOR = " MERGED QUERY "
@@ -26,8 +27,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# A quoted string.  Possessive runs, no choice under a star: such a choice takes a level of
+# the matcher's stack for each character of a string.
+QUOTED = r"'[^']*+(?:''[^']*+)*+'"
 # a quoted string, or a comment; strings come first, so "--" inside one is text
-STRING_OR_COMMENT = r"('(?:[^']|'')*')|--[^\n]*|/\*(?s:.*?)\*/"
+STRING_OR_COMMENT = rf"({QUOTED})|--[^\n]*+|/\*(?s:.*?)\*/"
+TOKEN = rf"{QUOTED}|[()]|[A-Za-z0-9_$]++|[^'()A-Za-z0-9_$]++|'"
 
 
 def strip_comments(text) -> Column:
@@ -37,7 +42,7 @@ def strip_comments(text) -> Column:
 
 def blank_literals(text) -> Column:
     """Comments removed and quoted strings emptied, so keywords inside them are ignored."""
-    return F.regexp_replace(strip_comments(text), r"'(?:[^']|'')*'", "''")
+    return F.regexp_replace(strip_comments(text), QUOTED, "''")
 
 
 def outside_parens(text) -> Column:
@@ -79,10 +84,21 @@ def written_columns(text) -> Column:
 
 
 def where_text(text) -> Column:
-    """The WHERE clause as written, comments aside (trimmed), NULL when absent.
-    Literals stay: updates of ``name = 'x'`` and ``name = 'y'`` are different rows."""
-    w = F.regexp_extract(strip_comments(text), r"(?is)^(?:'(?:[^']|'')*'|[^'])*?\bWHERE\s+(.*)$", 1)
-    return F.when(w != "", F.trim(w))
+    """The statement's own WHERE clause as written, comments aside (trimmed), NULL when
+    absent: what follows the first WHERE outside parentheses and strings.  Literals stay:
+    updates of ``name = 'x'`` and ``name = 'y'`` are different rows."""
+    t = strip_comments(text)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("after"))
+
+    def step(acc, p):
+        depth = acc["depth"] + F.when(p == "(", 1).when(p == ")", -1).otherwise(0)
+        at = acc["at"] + F.length(p)
+        own = (acc["after"] == 0) & (acc["depth"] <= 0) & (F.length(p) == 5) & (F.upper(p) == "WHERE")
+        return F.struct(depth.alias("depth"), at.alias("at"), F.when(own, at).otherwise(acc["after"]).alias("after"))
+
+    after = F.aggregate(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)), start, step, lambda r: r["after"])
+    w = F.when(after > 0, F.regexp_replace(t.substr(after + 1, F.length(t)), r"^\s+|\s+$", ""))
+    return F.when(w != "", w)
 
 
 def extract_targets(log: DataFrame) -> DataFrame:
@@ -109,9 +125,8 @@ def merge_groups(log: DataFrame) -> DataFrame:
          .agg(F.count(F.lit(1)).alias("n_queries"),
               F.sum("execution_time").alias("total_time"),
               F.max("execution_time").alias("max_time")))
-    # distinct first words are few (statement keywords): a global order is cheap here
-    w = Window.orderBy("query_prefix")
-    return g.select(F.row_number().over(w).alias("merged_query_id"), "query_prefix", "n_queries",
+    g = row_ids(g, ["query_prefix"], "merged_query_id")
+    return g.select(F.col("merged_query_id").cast("int").alias("merged_query_id"), "query_prefix", "n_queries",
                     "total_time", F.lit(0.0).alias("time_saved"),
                     (F.col("total_time") - F.col("max_time")).alias("savings_if_merged"))
 
@@ -233,7 +248,7 @@ def execution_chain(log: DataFrame, groups: DataFrame | None = None, scope: str
     edges = (a.join(b, (a[scope].eqNullSafe(b["_tw_s"])) & (a["pos"] == b["_tw_p"]))
              .select(scope, "src", "dst", F.col("pos").alias("src_pos")))
     groups = groups if groups is not None else run_groups(p, scope)
-    kept = range_anti_join(edges, groups, "src_pos", "first_pos", "last_pos", width=64, scope=[scope])
+    kept = range_anti_join(edges, groups, "src_pos", "first_pos", "last_pos", scope=[scope])
     return kept.select(scope, "src", "dst")
 
 

@@ -260,7 +260,7 @@ def interval_anti_join(edges: DataFrame, groups: DataFrame, src_col: str = "src"
                        first_col: str = "first", last_col: str = "last") -> DataFrame:
     """Drop edges whose source lies in ``[first, last)`` of any group.
 
-    Uses the bucketed range join (plans.range_join), not a nested loop over a
+    Uses the dyadic range join (plans.range_join), not a nested loop over a
     broadcast, so neither side needs a size bound."""
     from ..plans.range_join import range_anti_join
     return range_anti_join(edges, groups, src_col, first_col, last_col)

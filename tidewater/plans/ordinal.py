@@ -1,11 +1,14 @@
-"""Exact positions inside groups that may be huge.
+"""Exact positions inside groups that may be huge, by ranges of a known width.
+
+For keys that are dense in units known beforehand (positions, days): a fixed width bounds
+the distinct keys of a range, so no sample is needed.  Without a width, positions come
+from sampled splitters (``plans.ranking``), which hold for any key.
 
 ``row_number().over(partitionBy(g))`` sends a whole group to one task; when
 one key holds a third of the table that task holds a third of the table.  The
 plan here splits every group into ranges of the (numeric) ordering key:
 
-1. ``bucket = floor(key / width)`` — a range split of each group (the width
-   comes from the key's range and the row count unless given);
+1. ``bucket = floor(key / width)`` — a range split of each group;
 2. row counts per (group, bucket) — a partial aggregate, tiny after combine;
 3. running sum of those counts per group — a window over the small count table;
 4. ``row_number`` inside (group, bucket) — each bucket holds at most ``width``
@@ -18,40 +21,30 @@ that partitioning.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-ROWS_PER_BUCKET = 1 << 20
+from .ranking import rank_within
 
 
-def bucket_width(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Range width giving about ``rows_per_bucket`` rows per bucket for a key that
-    is spread over its range (one small aggregate: count, min, max)."""
-    n, lo, hi = df.agg(F.count(F.col(key)), F.min(key), F.max(key)).first()
-    if not n or lo is None:
-        return 1
-    buckets = max(1, math.ceil(n / rows_per_bucket))
-    return max(1, math.ceil((float(hi) - float(lo) + 1) / buckets))
+ROWS_PER_BUCKET = 1 << 20
 
 
 def ordinal_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    out: str = "pos", width: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number inside ``group_cols`` ordered by ``order_cols``.
 
-    The first order column must be numeric; the order columns must be a total
-    order inside each group (add a tie-break column otherwise).  ``width`` is
-    the range width of one bucket; by default it is derived from the key's
-    range and the row count so that a bucket holds about 2^20 rows whatever
-    the key's units (ids, days, microseconds).
+    The order columns must be a total order inside each group (add a tie-break
+    column otherwise).  ``width`` is the range width of one bucket of the first
+    order column, which must then be numeric; without it the positions come from
+    sampled splitters over all order columns, of any type.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     key = order_cols[0]
     if width is None:
-        width = bucket_width(df, key)
+        return rank_within(df, group_cols, order_cols, out)
     d = df.withColumn("_tw_b", F.floor(F.col(key) / F.lit(width)))
     counts = d.groupBy(*group_cols, "_tw_b").agg(F.count(F.lit(1)).alias("_tw_n"))
     before = Window.partitionBy(*group_cols).orderBy("_tw_b").rowsBetween(
