@@ -3,19 +3,17 @@
 Fixed-size chunking, cleaning, term indexing and BM25 scoring are built-in
 expressions and joins.  Python runs only where the semantics are genuinely
 imperative: the recursive splitter (Arrow batches via ``mapInPandas``) and the
-exact nearest-neighbour scan (numpy over Arrow batches, queries broadcast
-behind a checked bound)."""
+exact nearest-neighbour scan (numpy over Arrow batches).  Term search is in
+``search``."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
-from ..plans.broadcast import row_count_at_most
 from ..plans.ordinal import ordinal_within
 
 # ---------------------------------------------------------------- fixed values
@@ -187,78 +185,69 @@ def embed_hashed(df: DataFrame, text_col: str, dims: int = 1 << 12, out: str = "
 
 def knn_exact(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id",
               vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "query_vec",
-              max_broadcast: int = 4096) -> DataFrame:
+              group_rows: int = 1 << 17) -> DataFrame:
     """The k nearest stored vectors (Euclidean, ties by id) for every query.
 
-    Queries are broadcast in groups of at most ``max_broadcast`` (checked by a
-    count, so the broadcast size is bounded); every index partition keeps a
-    running top-k per query on Arrow batches and emits only k rows per query;
-    a final per-query rank over (k x partitions) rows gives the answer.  More
-    queries than the bound are processed group by group, still exactly."""
-    spark = index.sparkSession
-    index = index.filter(F.col(vec_col).isNotNull())  # a row without a vector is near to nothing
-    queries = queries.filter(F.col(qvec_col).isNotNull())
-    nq = queries.count()
-    if nq == 0:
-        return spark.createDataFrame([], f"{qid_col} long, rank int, {id_col} long, distance double")
-    parts = []
-    n_groups = max(1, math.ceil(nq / max_broadcast))
-    qn = ordinal_within(queries.select(qid_col, qvec_col).withColumn("_tw_all", F.lit(0)),
-                        ["_tw_all"], [qid_col], out="_tw_q") if n_groups > 1 else None
-    for g in range(n_groups):
-        part = queries if n_groups == 1 else qn.filter(
-            F.floor((F.col("_tw_q") - 1) / max_broadcast) == g).select(qid_col, qvec_col)
-        if not row_count_at_most(part, max_broadcast):
-            raise RuntimeError("query group exceeds the broadcast bound")
-        parts.append(_knn_group(index, part, k, id_col, vec_col, qid_col, qvec_col))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
-
-
-def _knn_group(index, queries, k, id_col, vec_col, qid_col, qvec_col):
-    import numpy as np
-    spark = index.sparkSession
-    rows = queries.collect()  # bounded: at most max_broadcast query vectors
-    qids = np.array([r[0] for r in rows], dtype="int64")
-    qmat = np.array([r[1] for r in rows], dtype="float64")
-    bq = spark.sparkContext.broadcast((qids, qmat))
+    Index rows are dealt into groups of about ``group_rows``; queries are copied once
+    to each group and stream through it in Arrow batches, so a task holds one group's
+    vectors and one batch of queries, whatever their numbers, and nothing passes the
+    driver.  A group gives its k best for a query; a rank over these is the answer.
+    Rows without a vector take no part."""
+    index = index.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).filter("vec is not null")
+    queries = queries.select(F.col(qid_col).cast("long").alias("id"), F.col(qvec_col).cast("array<double>").alias("vec")).filter("vec is not null")
+    groups = max(1, -(-index.count() // group_rows))
+    held = index.select(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("grp"), F.lit(0).alias("kind"), "id", "vec")
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), F.lit(1).alias("kind"), "id", "vec")
+    dealt = held.unionByName(asked).repartition(groups, "grp").sortWithinPartitions("grp", "kind")
 
     def scan(batches):
         import numpy as np
-        import pandas as pd
-        qids, qmat = bq.value
-        nq, dim = qmat.shape
-        best_d = np.full((nq, 0), np.inf)
-        best_i = np.zeros((nq, 0), dtype="int64")
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            vecs = np.stack(pdf[vec_col].to_numpy()).astype("float64")
-            ids = pdf[id_col].to_numpy().astype("int64")
-            # exact squared distances from direct differences, in blocks of queries
-            # sized to keep the (block x batch x dim) difference tensor near 8M values
-            step = max(1, (1 << 23) // max(1, len(vecs) * dim))
-            new_d, new_i = [], []
-            for q0 in range(0, nq, step):
-                diff = qmat[q0:q0 + step, None, :] - vecs[None, :, :]
-                d2 = np.einsum("qbd,qbd->qb", diff, diff)
-                cd = np.concatenate([best_d[q0:q0 + step], d2], axis=1)
-                ci = np.concatenate([best_i[q0:q0 + step], np.broadcast_to(ids, d2.shape)], axis=1)
-                order = np.lexsort((ci, cd), axis=1)[:, :k]
-                new_d.append(np.take_along_axis(cd, order, axis=1))
-                new_i.append(np.take_along_axis(ci, order, axis=1))
-            best_d, best_i = np.concatenate(new_d), np.concatenate(new_i)
-        if best_d.shape[1] == 0:
-            return
-        yield pd.DataFrame({qid_col: np.repeat(qids, best_d.shape[1]),
-                            id_col: best_i.ravel(), "distance": np.sqrt(best_d.ravel())})
-    local = index.select(id_col, vec_col).mapInPandas(
-        scan, f"{qid_col} long, {id_col} long, distance double")
-    w = Window.partitionBy(qid_col).orderBy("distance", id_col)
+        import pyarrow as pa
+        group, ids, vecs = None, [], []
+        for batch in batches:
+            grp, kind = batch.column("grp").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero((np.diff(grp) != 0) | (np.diff(kind) != 0)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(batch)]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                rows = np.asarray(part.column("vec").flatten()).reshape(len(part), -1)
+                if grp[a] != group:
+                    group, ids, vecs = grp[a], [], []
+                if kind[a] == 0:
+                    ids.append(part.column("id").to_numpy())
+                    vecs.append(rows)
+                elif ids:
+                    ids, vecs = [np.concatenate(ids)], [np.concatenate(vecs)]
+                    near, d2 = nearest_rows(rows, vecs[0], ids[0], k)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column("id").to_numpy(), near.shape[1])), pa.array(near.ravel()),
+                                                      pa.array(np.sqrt(d2.ravel()))], ["qid", "id", "distance"])
+
+    local = dealt.mapInArrow(scan, "qid long, id long, distance double")
+    w = Window.partitionBy("qid").orderBy("distance", "id")
     return (local.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(qid_col, "rank", id_col, "distance"))
+            .select(F.col("qid").alias(qid_col), "rank", F.col("id").alias(id_col), "distance"))
+
+
+def nearest_rows(queries, vecs, ids, k: int, values: int = 1 << 23):
+    """Ids and squared distances of the k rows nearest to each query, by exact
+    differences in pieces of about ``values`` numbers."""
+    import numpy as np
+    dim = vecs.shape[1]
+    step = max(1, values // max(1, dim * 256))  # rows at a time, for 256 queries
+    out_i, out_d = [], []
+    for q in range(0, len(queries), 256):
+        some = queries[q:q + 256]
+        best_i, best_d = np.zeros((len(some), 0), np.int64), np.zeros((len(some), 0))
+        for r in range(0, len(vecs), step):
+            diff = some[:, None, :] - vecs[None, r:r + step]
+            d = np.concatenate([best_d, np.einsum("qbd,qbd->qb", diff, diff)], axis=1)
+            i = np.concatenate([best_i, np.broadcast_to(ids[r:r + step], (len(some), len(diff[0])))], axis=1)
+            first = np.lexsort((i, d), axis=1)[:, :k]
+            best_d, best_i = np.take_along_axis(d, first, axis=1), np.take_along_axis(i, first, axis=1)
+        out_i.append(best_i)
+        out_d.append(best_d)
+    return np.concatenate(out_i), np.concatenate(out_d)
 
 
 def centroids(df: DataFrame, group_col: str, vec_col: str, out: str = "query_vec") -> DataFrame:
@@ -296,75 +285,6 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_PATTERN), 0)
 
 
-def bm25_index(docs: DataFrame, id_col: str, text_col: str, attrs: Sequence[str] = (),
-               n_partitions: int | None = None, materialise: bool = True):  # noqa: C901
-    """T8 index: document-partitioned postings ``(doc, attrs..., dl, term, tf)``, the
-    term dictionary ``(term, df)`` and the collection statistics (N, average
-    length) as a one-row table.
-
-    Texts are shuffled once by document id and tokenised once; term counts are
-    then computed inside each partition (the grouping keys include the
-    partitioning key, so no shuffle of tokens).  The index is a built artifact:
-    with ``materialise`` it is written as Parquet into the shared checkpoint
-    folder, so searches read it without re-tokenising."""
-    from ..session import materialise as materialise_
-    spark = docs.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    from pyspark.sql import Observation
-    d = docs.select(id_col, *attrs, text_col).repartition(n, id_col)
-    toks = d.select(id_col, *attrs, tokens(text_col).alias("_tw_t"))
-    # collection statistics observed during the postings build (no extra pass)
-    obs = Observation("bm25_collection")
-    toks = toks.observe(obs, F.count(F.lit(1)).alias("n_docs"),
-                        F.sum(F.size("_tw_t")).cast("long").alias("n_tokens"))
-    postings = (toks.select(id_col, *attrs, F.size("_tw_t").cast("long").alias("dl"),
-                            F.explode("_tw_t").alias("term"))
-                .groupBy(id_col, *attrs, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
-    if materialise:
-        postings = materialise_(postings, "bm25_postings")
-        stats = obs.get
-        n_docs, total = stats["n_docs"], stats["n_tokens"] or 0
-    else:
-        n_docs = docs.select(id_col).count()
-        total = postings.agg(F.sum("tf")).first()[0] or 0
-    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))  # term dictionary
-    if materialise:
-        terms = materialise_(terms, "bm25_terms")
-    coll = spark.createDataFrame([(n_docs, (total / n_docs) if n_docs else 0.0)], "n_docs long, avgdl double")
-    return postings, terms, coll
-
-
-def bm25_search(index, queries: DataFrame, qid_col: str, qtext_col: str, id_col: str,
-                k: int = 10, where: Column | None = None, salt: int = 64,
-                max_query_terms: int = 2_000_000) -> DataFrame:
-    """BM25 ranking (k1 = 1.2, b = 0.75, idf = ln(1 + (N - df + .5)/(df + .5)))
-    with an attribute filter applied to the postings first, top ``k`` per query,
-    ties by id.
-
-    The query terms (bounded by the request batch, checked) are broadcast to
-    the document-partitioned postings, so the per-(query, doc) sums need no
-    shuffle of postings; the top-k is then taken in two exact steps (per
-    (query, id-salt), then per query) so a query matching every document never
-    ranks them all in one task."""
-    from ..plans.broadcast import bounded_broadcast
-    postings, df_t, coll = index
-    n_docs, avgdl = coll.first()  # one row of collection statistics
-    qt = queries.select(qid_col, F.explode(F.array_distinct(tokens(qtext_col))).alias("term"))
-    idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    qterms = qt.join(df_t, "term").select(qid_col, "term", idf.alias("idf"))
-    cand = postings if where is None else postings.filter(where)
-    norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("dl")
-                                           / F.lit(float(avgdl or 1.0)))
-    contrib = F.col("idf") * F.col("tf") * F.lit(BM25_K1 + 1) / norm
-    j = cand.join(bounded_broadcast(qterms, max_query_terms), "term")
-    scores = j.groupBy(qid_col, id_col).agg(F.round(F.sum(contrib), 6).alias("score"))
-    w1 = Window.partitionBy(qid_col, F.pmod(F.col(id_col), F.lit(salt))).orderBy(F.col("score").desc(), id_col)
-    pre = scores.withColumn("_tw_r", F.row_number().over(w1)).filter(F.col("_tw_r") <= k).drop("_tw_r")
-    w2 = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), id_col)
-    return (pre.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
-            .select(qid_col, "rank", id_col, "score"))
-
-
 # ---------------------------------------------------------------- T9 / T10 / T11 / T13-T17
 
 def context_string(hits: DataFrame, qid_col: str, rank_col: str, chunk_col: str,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import search as SE
 from ..operators import text as TX
+from ..streaming import streams as X
 from .common import rounded, tables
 
 Q, O = {}, {}
@@ -107,19 +109,22 @@ BM25_SQL = f"""WITH dt AS (SELECT doc_id, lang, {TOK.format(t='text')} AS toks F
   p AS (SELECT term, doc_id, COUNT(*) AS tf FROM (SELECT doc_id, unnest(toks) AS term FROM dt) GROUP BY 1, 2),
   df AS (SELECT term, COUNT(*) AS df FROM p GROUP BY 1),
   q AS (SELECT DISTINCT item_id AS query_id, unnest({TOK.format(t='text')}) AS term FROM benchmark),
-  s AS (SELECT q.query_id, p.doc_id, ROUND(SUM(ln(1 + (coll.n - df.df + 0.5) / (df.df + 0.5)) * p.tf * 2.2
-          / (p.tf + 1.2 * (0.25 + 0.75 * ds.dl / coll.avgdl))), 6) AS score
+  s AS (SELECT q.query_id, p.doc_id, list_sum(list(ln(1 + (coll.n - df.df + 0.5) / (df.df + 0.5)) * (p.tf * 2.2
+          / (p.tf + 1.2 * (0.25 + 0.75 * ds.dl / coll.avgdl))) ORDER BY p.term)) AS score
         FROM q JOIN df ON q.term = df.term JOIN p ON q.term = p.term JOIN ds ON p.doc_id = ds.doc_id, coll
         WHERE ds.lang = 'en' GROUP BY 1, 2),
   r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
-  SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
+  SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, ROUND(score, 6) AS score FROM r WHERE rank <= 10"""
 
 
 def _bm25(spark, sf):
     t = tables(spark, sf)
-    idx = TX.bm25_index(t.documents, "doc_id", "text", ["lang"])
-    q = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
-    return TX.bm25_search(idx, q, "query_id", "text", "doc_id", 10, F.col("lang") == "en")
+    return _search(spark, sf, SE.build_index(t.documents, "doc_id", "text", ["lang"]))
+
+
+def _search(spark, sf, index):
+    q = tables(spark, sf).benchmark.select(F.col("item_id").alias("query_id"), "text")
+    return SE.search(spark, index, q, "query_id", "text", "doc_id", 10, lambda d: d["lang"] == "en")
 
 
 @reg("bm25_search", BM25_SQL)
@@ -127,6 +132,20 @@ def _t8(spark, sf):
     return _bm25(spark, sf)
 
 
+@reg("search_refresh_stream", BM25_SQL)
+def _x5_search(spark, sf):
+    """The index grows by three runs over new documents, with tiers of two segments, and
+    is then searched: the same answers as from an index of all documents."""
+    run = X.new_run_dir(spark, "search")
+    docs = tables(spark, sf).documents.select("doc_id", "text", "lang")
+    cut = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    for n in range(3):
+        docs.filter(cut == n).write.mode("append").parquet(run + "/docs")
+        fresh = spark.readStream.schema(docs.schema).parquet(run + "/docs")
+        X.run_to_end(SE.search_refresh_stream(fresh, run + "/index", run + "/ckpt", "doc_id", "text", ["lang"], fan=2))
+    return _search(spark, sf, SE.open_index(spark, run + "/index"))
+
+
 CONTEXT_SQL = f"""WITH h AS ({BM25_SQL})
   SELECT h.query_id, string_agg(concat('Context document ', CAST(h.rank AS VARCHAR), ': ', d.text, ' ' || chr(10) || chr(10)), ''
     ORDER BY h.rank) AS context FROM h JOIN documents d ON h.doc_id = d.doc_id GROUP BY h.query_id"""
