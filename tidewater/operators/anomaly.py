@@ -82,14 +82,13 @@ def isolation_forest_fit(df: DataFrame, cols: Sequence[str], key: str, trees: in
 
 
 def isolation_forest_score(df: DataFrame, forest: DataFrame, cols: Sequence[str], key: str,
-                           sample: int = 256, out: str = "anomaly_score", max_nodes: int = 2_000_000
-                           ) -> DataFrame:
+                           sample: int = 256, out: str = "anomaly_score") -> DataFrame:
+    """``out`` per key.  The forest's size is set by the fit's parameters, at most
+    ``trees * (2 * sample - 1)`` rows, and does not grow with the data."""
     import numpy as np
     cols = list(cols)
     spark = df.sparkSession
-    nodes = forest.orderBy("tree_id", "node_id").limit(max_nodes + 1).toPandas()
-    if len(nodes) > max_nodes:
-        raise ValueError("forest larger than the broadcast bound")
+    nodes = forest.toPandas()
     trees = []
     for _, g in nodes.groupby("tree_id"):
         g = g.sort_values("node_id")

@@ -104,6 +104,35 @@ def layout_check(listing: DataFrame, expected: DataFrame, path_col: str = "path"
     return subset_missing(expected, found.filter(F.col(prefix_col).isNotNull()), prefix_col)
 
 
+def prefix_rows(paths: DataFrame, path_col: str, depth: int) -> DataFrame:
+    """Every prefix of the paths up to ``depth`` parts, once: one pass with a roll-up over
+    the parts.  A path shorter than a level has no prefix there."""
+    parts = F.split(F.ltrim(F.col(path_col)), "/")
+    part = [F.when(F.try_element_at(parts, F.lit(n + 1)) != "", F.try_element_at(parts, F.lit(n + 1))).alias(f"p{n}") for n in range(depth)]
+    rolled = paths.filter(F.col(path_col).isNotNull()).select(*part).rollup(*[f"p{n}" for n in range(depth)]).agg(F.grouping_id().alias("_tw_g"))
+    # grouping_id has a set bit for each part that is rolled up: 2^k - 1 when the last k are
+    level = F.lit(depth) - F.log2(F.col("_tw_g") + 1).cast("int")
+    held = rolled.withColumn("level", level).withColumn("_tw_parts", F.slice(F.array(*[f"p{n}" for n in range(depth)]), F.lit(1), F.col("level")))
+    whole = held.filter((F.col("level") > 0) & ~F.exists("_tw_parts", lambda x: x.isNull()))
+    return whole.select("level", F.array_join("_tw_parts", "/").alias("prefix"))
+
+
+def layout_tree_check(listing: DataFrame, expected: DataFrame, path_col: str = "path", prefix_col: str = "prefix") -> DataFrame:
+    """Q14 for folders of any depth: (prefix, level, n_expected), the missing branches of
+    the listing, each cut at its highest missing folder, with the number of expected
+    folders that are missing in it.  Empty means that the layout is complete."""
+    wanted = expected.select(F.rtrim(F.ltrim(F.col(prefix_col)), F.lit("/")).alias("leaf")).filter("leaf <> ''").distinct()
+    wanted = wanted.withColumn("parts", F.split("leaf", "/"))
+    depth = wanted.agg(F.max(F.size("parts"))).first()[0]
+    if depth is None:
+        return wanted.select(F.col("leaf").alias("prefix"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("n_expected"))
+    found = prefix_rows(listing, path_col, depth).select("prefix")
+    above = wanted.select("leaf", "parts", F.explode(F.sequence(F.lit(1), F.size("parts"))).alias("level"))
+    above = above.select("leaf", "level", F.array_join(F.slice("parts", F.lit(1), F.col("level")), "/").alias("prefix"))
+    missing = above.join(found, "prefix", "left_anti").groupBy("leaf").agg(F.min(F.struct("level", "prefix")).alias("top"))
+    return missing.groupBy("top.prefix", "top.level").agg(F.count(F.lit(1)).alias("n_expected")).select("prefix", "level", "n_expected")
+
+
 def first_failure(checks: DataFrame, order_col: str = "check_order", passed_col: str = "passed",
                   message_col: str = "message", success: str = "success") -> DataFrame:
     """Q15: the message of the first failing check in order, else ``success``."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as FT
+from ..operators import tablefn
 from ..operators.relational import join_on_date
+from ..session import materialise
 from ..sources import derived
 from .common import rounded, tables, with_shapes
 
@@ -103,6 +105,17 @@ def _f2(spark, sf):
     return rounded(FT.lag_zscore(derived.market(spark, sf), "close", 5, 5))
 
 
+@reg("lag_zscore_sql", with_shapes("""SELECT ticker, date, close, lag_5_days, ROUND(std_dev, 6) AS std_dev,
+  ROUND(CASE WHEN std_dev = 0 OR std_dev IS NULL OR lag_5_days IS NULL THEN NULL ELSE (close - lag_5_days) / std_dev END, 6) AS z_score
+  FROM (SELECT ticker, date, close, LAG(close, 5) OVER (PARTITION BY ticker ORDER BY date) AS lag_5_days,
+        STDDEV_SAMP(close) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS std_dev FROM stock)""", "stock"))
+def _d2(spark, sf):
+    """F2 as a function over a table, called from SQL."""
+    tablefn.register(spark)
+    stock = derived.stock(spark, sf).select("ticker", "date", "close")
+    return rounded(spark.sql("SELECT * FROM lag_zscore(TABLE({stock}) PARTITION BY ticker ORDER BY (date), 'close', 5, 5)", stock=stock))
+
+
 @reg("join_on_date", with_shapes(f"""SELECT o.date, o.close, ROUND(m.z_score, 6) AS z_score
   FROM market o JOIN ({F2}) m ON o.date = m.date""", "market"))
 def _j3(spark, sf):
@@ -232,6 +245,31 @@ def _f13(spark, sf):
     return FT.tag_completeness(t.documents.select("doc_id"), t.labels, "doc_id", ["quality", "toxic"])
 
 
+@reg("row_ids", """SELECT event_id, event_type, user_id, row_number() OVER (ORDER BY event_type, -user_id, event_id) AS id
+  FROM events""")
+def _w8(spark, sf):
+    """Ids over a text column with few values, a number and a tie-break."""
+    ev = tables(spark, sf).events.select("event_id", "event_type", "user_id").withColumn("_minus", -F.col("user_id"))
+    return FT.row_ids(ev, ["event_type", "_minus", "event_id"]).drop("_minus")
+
+
+@reg("isolation_forest_outliers", """SELECT -event_id - 1 AS event_id FROM events WHERE event_id % 500 = 7""")
+def _f10_outliers(spark, sf):
+    """Events with copies far outside the values of their columns: the copies are those
+    that score above the 99th percentile of all and lie outside the columns' ranges."""
+    from ..operators.anomaly import isolation_forest_fit, isolation_forest_score
+    ev = tables(spark, sf).events.select("event_id", "value", F.hour("ts").cast("double").alias("hour_of_day"), F.col("user_id").cast("double").alias("user_id"))
+    low, high = ev.agg(F.min("value"), F.max("value")).first()
+    span = (high - low) or 1.0
+    odd = ev.filter("event_id % 500 = 7").select((-F.col("event_id") - 1).alias("event_id"), (F.col("value") + F.lit(20 * span)).alias("value"),
+                                                 F.lit(300.0).alias("hour_of_day"), (F.col("user_id") + F.lit(1e7)).alias("user_id"))
+    rows, cols = ev.unionByName(odd), ["value", "hour_of_day", "user_id"]
+    scored = isolation_forest_score(rows, isolation_forest_fit(rows, cols, "event_id", trees=100, sample=512, seed=42), cols, "event_id", sample=512)
+    scored = materialise(scored, "isolation_scores")
+    cut = scored.agg(F.percentile_approx("anomaly_score", 0.99, 100000)).first()[0]
+    return scored.filter((F.col("anomaly_score") > F.lit(cut)) & (F.col("event_id") < 0)).select("event_id")
+
+
 @reg("isolation_forest")
 def _f10(spark, sf):
     from ..operators.anomaly import isolation_forest_fit, isolation_forest_score

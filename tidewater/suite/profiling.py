@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import merkle as M
 from ..operators import profile as P
 from ..operators import reconcile as RC
+from ..session import materialise, scratch_path
 from .common import money, tables
 
 Q, O = {}, {}
@@ -228,6 +232,53 @@ def _q14(spark, sf):
     return RC.layout_check(listing, expected, "path", 1)
 
 
+TREE_SQL = f"""WITH found AS (SELECT DISTINCT string_split(regexp_extract(url, '{URL_PATH}', 1), '/') AS p FROM pages WHERE url IS NOT NULL),
+  f AS (SELECT DISTINCT p[1] AS prefix FROM found UNION SELECT DISTINCT p[1] || '/' || p[2] FROM found WHERE len(p) > 1 AND p[2] <> ''),
+  w AS (SELECT DISTINCT lang AS a, lang || '/' || source AS leaf FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL
+        UNION SELECT DISTINCT lang, lang FROM documents WHERE lang IS NOT NULL),
+  m AS (SELECT CASE WHEN a NOT IN (SELECT prefix FROM f) THEN a ELSE leaf END AS prefix FROM w WHERE leaf NOT IN (SELECT prefix FROM f))
+  SELECT prefix, CASE WHEN strpos(prefix, '/') > 0 THEN 2 ELSE 1 END AS level, COUNT(*) AS n_expected FROM m GROUP BY 1, 2"""
+
+
+@reg("layout_tree_check", TREE_SQL)
+def _q14_tree(spark, sf):
+    """Two levels at once: a folder per language, and in it one per source."""
+    t = tables(spark, sf)
+    listing = t.pages.select(F.regexp_extract("url", URL_PATH, 1).alias("path"))
+    both = t.documents.select(F.explode(F.array(F.concat_ws("/", "lang", "source"), "lang")).alias("prefix"), "lang", "source")
+    return RC.layout_tree_check(listing, both.filter("lang is not null and source is not null"))
+
+
+DAMAGE = {"changed": "o_orderkey % 997 = 5", "left only": "o_orderkey % 1009 = 3", "right only": "o_orderkey % 1013 = 2"}
+
+
+@reg("merkle_diff", f"""SELECT o_orderkey, CASE WHEN {DAMAGE['right only']} THEN 'right only' WHEN {DAMAGE['left only']} THEN 'left only' ELSE 'changed' END
+  AS status FROM orders WHERE {' OR '.join(DAMAGE.values())}""")
+def _q7_tree(spark, sf):
+    """Orders against a copy with altered, lost and added rows."""
+    o, run = tables(spark, sf).orders, scratch_path(spark, f"merkle/{uuid.uuid4().hex}")
+    left = o.filter(f"not ({DAMAGE['right only']})")
+    copy = o.filter(f"{DAMAGE['right only']} or not ({DAMAGE['left only']})").withColumn(
+        "o_totalprice", F.when(F.expr(DAMAGE["changed"]), F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")))
+    trees = [M.build_tree(df, ["o_orderkey"], f"{run}/{side}", depth=3) for side, df in (("left", left), ("right", copy))]
+    return M.differing_keys(spark, *trees)
+
+
+SKETCHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@reg("profile_sketches", " UNION ALL ".join(f"""SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count,
+  COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS distinct_count, TRUE AS estimate_fits FROM orders""" for c in SKETCHED))
+def _q1_sketches(spark, sf):
+    """Sketches kept per order status, merged; estimates are held against exact counts
+    (four standard errors)."""
+    o = tables(spark, sf).orders.withColumn("part", F.col("o_orderstatus"))
+    sketches = materialise(P.column_sketches(o, ["part"], SKETCHED, 14), "sketches")
+    j = P.merge_sketches(sketches).join(P.exact_distinct(o, SKETCHED), "column_name")
+    error = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) / F.col("distinct_count")
+    return j.select("column_name", "row_count", "null_count", "distinct_count", (error <= 4 * 1.04 / 2 ** 7).alias("estimate_fits"))
+
+
 @reg("first_failure", f"""WITH c AS (
   SELECT 1 AS check_order, (SELECT COUNT(*) FROM orders) = (SELECT COUNT(*) FROM orders WHERE o_orderstatus <> 'P')
     AS passed, 'row counts differ' AS message
