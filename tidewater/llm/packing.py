@@ -18,7 +18,6 @@ from __future__ import annotations
 import functools
 import os
 import re
-import struct
 import zlib
 
 import numpy as np
@@ -30,82 +29,69 @@ from pyspark.sql import types as T
 
 from .bpe import read_file, safe_parts
 from .common import slices, stored
+from .words import WordMemory, gather, split_at
 
 IDS = np.dtype("<u4")
 SPACE_AFTER_SPACE = re.compile(r"\s ")
-WORD_START = re.compile(r"(?<=\S)(?= )")
-LETTERS_FIRST = re.compile(r"([^\W\d_]+)(.+)", re.S)
-
-
-def byte_letters() -> dict[int, int]:
-    """The printable character that stands for each byte in byte-level vocabularies:
-    itself where it is printable, else the next free one from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
-
-
-class WordEncoder(dict):
-    """Ids by the tokenizers library, remembered by word.
-
-    Byte-level splitting never joins a space to the word before it, nor letters to
-    the punctuation after them, so a text may be encoded from space to space, and a
-    word's letters apart from what follows.  Memory is bounded: when ``max_words``
-    are held they become the old generation, from which words in use move over.
-    """
-
-    def __init__(self, tok, max_words: int = 200_000, max_len: int = 40):
-        super().__init__()
-        self.tok, self.max_words, self.max_len = tok, max_words, max_len
-        self.old: dict[str, bytes] = {}
-        self.letters = byte_letters()
-        self.space, self.bpe = chr(self.letters[32]), tok.model.tokenize
-        self.plain = tok.normalizer is None
-
-    def direct(self, text: str) -> bytes:
-        return b"".join(np.array(self.tok.encode(x, add_special_tokens=False).ids, IDS).tobytes() for x in safe_parts(text))
-
-    def __missing__(self, word: str) -> bytes:
-        """Ids of a space followed by ``word``."""
-        ids = self.old.get(word)
-        if ids is None:
-            if len(word) > self.max_len:
-                return self.direct(" " + word)
-            if self.plain and word.isalpha():  # one run of letters: a single piece for the BPE model
-                piece = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.letters)
-                tokens = self.bpe(self.space + piece)
-                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            elif (m := LETTERS_FIRST.fullmatch(word)) and m[1].isalpha():
-                ids = self[m[1]] + self.rest(m[2])
+SPACE_LETTER = "\u0120"  # stands for a space in byte-level vocabularies
+
+
+class WordEncoder:
+    """Ids by the tokenizers library, remembered by word, ``max_words`` of them at most.
+
+    Byte-level splitting never joins a space to the word before it, so a text may be
+    encoded from space to space, and words not seen before are encoded many at a time:
+    each starts with a space, and only its first token can."""
+
+    def __init__(self, tok, max_words: int = 1 << 20, batch: int = 4096):
+        self.tok, self.batch = tok, batch
+        names = tok.get_vocab()
+        self.spaced = np.zeros(max(names.values(), default=0) + 1, bool)
+        self.spaced[[i for t, i in names.items() if t.startswith(SPACE_LETTER)]] = True
+        self.memory = WordMemory(max_words)
+
+    def direct(self, text: str) -> np.ndarray:
+        return np.concatenate([np.array(self.tok.encode(x, add_special_tokens=False).ids, np.int32) for x in safe_parts(text)])
+
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a space followed by each of the words, which hold no space, and their numbers."""
+        ids, sizes = [], []
+        for at in range(0, len(words), self.batch):
+            some = words[at:at + self.batch]
+            got = np.array(self.tok.encode(" " + " ".join(some), add_special_tokens=False).ids, np.int32)
+            heads = np.flatnonzero(self.spaced[got])
+            if len(heads) == len(some) and "" not in some:
+                ids.append(got)
+                sizes.append(np.diff(np.append(heads, len(got))))
             else:
-                ids = self.direct(" " + word)
-        if len(self) >= self.max_words:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
-
-    def rest(self, text: str) -> bytes:
-        """Ids of ``text`` without a space before it."""
-        key = "\0" + text  # texts that hold this character are never split into words
-        ids = self.get(key)
-        if ids is None:
-            ids = self.direct(text)
-            if len(self) < self.max_words:
-                self[key] = ids
-        return ids
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, IDS)
-        if "\0" in text:
-            return np.frombuffer(self.direct(text), IDS)
-        if SPACE_AFTER_SPACE.search(text):
-            first, *rest = WORD_START.split(text)
-            words = [w[1:] for w in rest]
-        else:
-            first, *words = text.split(" ")
-        return np.frombuffer((self.direct(first) if first else b"") + b"".join(map(self.__getitem__, words)), IDS)
+                each = [self.direct(" " + w) for w in some]
+                ids += each
+                sizes.append(np.array([len(x) for x in each]))
+        return np.concatenate(ids)[:, None], np.concatenate(sizes)
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by ``end_id``, and their numbers.
+
+        Texts in which no white space or NUL stands before a space are cut at every
+        space, and each distinct word is looked up once; the others go one by one."""
+        odd = [k for k, x in enumerate(texts) if "\0" in x or SPACE_AFTER_SPACE.search(x)]
+        plain = list(texts)
+        for k in odd:
+            plain[k] = ""
+        words, picked, starts = split_at(plain, " ")
+        rows, sizes = self.memory.encode(words, self.learn)
+        # the first word of a text has no space before it; odd texts stand in its place as a whole
+        firsts = words.take(pa.array(picked[starts[:-1]])).to_pylist()
+        lone = {w: k for k, w in enumerate(dict.fromkeys(firsts))}
+        extra = [np.array(e.ids, np.int32) for e in self.tok.encode_batch(list(lone), add_special_tokens=False)]
+        own = np.array([lone[w] for w in firsts], np.int64)
+        own[odd] = np.arange(len(odd)) + len(extra)
+        extra += [self.direct(texts[k]) for k in odd] + [np.array([end_id], np.int32)]
+        picked[starts[:-1]] = own + len(words)
+        picked = np.insert(picked, starts[1:], len(words) + len(extra) - 1)
+        sizes = np.concatenate([sizes, [len(x) for x in extra]])
+        ids = np.concatenate([rows[:, 0], *extra])[gather(np.cumsum(sizes) - sizes, sizes, picked)].astype(IDS)
+        return ids, np.add.reduceat(sizes[picked], starts[:-1] + np.arange(len(texts)))
 
 
 @functools.lru_cache(maxsize=1)
@@ -158,7 +144,7 @@ class OpenWindows:
                     best.add(key, start, ids[start:start + room])
                     start += room
             else:
-                best.add(key, start, ids[start:])
+                best.add(key, start, ids[start:].copy())  # not a view that keeps the whole slice
                 start = len(ids)
                 if best.fill < length:
                     return
@@ -189,7 +175,8 @@ class Rows:
         for (doc, total), start, ids in w.pieces:
             raw = ids.tobytes()
             kept = raw if self.keep_ids or not done else None
-            self.rows.append((doc, start, len(ids), zlib.crc32(raw), total, self.next, offset, kept, self.task, done))
+            crc = None if kept is not None else zlib.crc32(raw)  # of kept ids Spark takes it
+            self.rows.append((doc, start, len(ids), crc, total, self.next, offset, kept, self.task, done))
             self.bytes += len(kept or b"") + 80
             offset += len(ids)
         self.next += 1
@@ -209,7 +196,6 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 1024, end_id: int
     vocab = spark.sparkContext.broadcast(read_file(tokenizer_file))
     id_field = docs.schema[id_col]
     schema = T.StructType([T.StructField(id_col, id_field.dataType)] + PIECE)
-    end = np.array([end_id], IDS)
 
     def first(batches):
         encoder, rows, windows = _encoder(vocab.value), None, None
@@ -218,10 +204,11 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 1024, end_id: int
                 rows = Rows(id_col, batch.column(id_col).type, TaskContext.get().partitionId(), 0, keep_ids)
                 windows = OpenWindows(seq_len, open_windows, rows.add, top_up)
             ids_in = batch.column(id_col).to_pylist()
-            for at, texts in slices(batch, text_col):
-                for i, text in enumerate(texts):
-                    ids = np.concatenate([encoder.encode(text), end])
-                    windows.place((ids_in[at + i], len(ids)), ids)
+            for at, texts in slices(batch, text_col, 2 << 20):
+                flat, counts = encoder.encode(texts, end_id)
+                stops = np.cumsum(counts).tolist()
+                for i, (a, b) in enumerate(zip([0, *stops], stops)):
+                    windows.place((ids_in[at + i], b - a), flat[a:b])
                     if rows.bytes > 8 << 20:
                         yield rows.batch()
         if rows is not None:
@@ -284,7 +271,8 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 1024, end_id: int
             yield rows.batch()
         return run
 
-    columns = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + (["ids"] if keep_ids else [])
+    crc = F.crc32("ids").alias("ids_crc32") if keep_ids else "ids_crc32"
+    columns = [id_col, "start", "length", crc, "doc_tokens", "sequence_id", "offset"] + (["ids"] if keep_ids else [])
     table = stored(docs.select(id_col, text_col).mapInArrow(first, schema), "packed")
     out = [table.filter("done").select(*columns)]
     groups = 1 + (table.agg(F.max("task")).first()[0] or 0)
