@@ -2,12 +2,14 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as PT
+import pyarrow as pa
 import pytest
 import sentencepiece as S
 from pyspark.sql import functions as F
 
-from tidewater.llm import pieces, suite
+from tidewater.llm import pieces, suite, words
 
 SF = "/root/testdata/sf0.001"
 MODEL = open(PT.path("piece_bpe_32k.model"), "rb").read()
@@ -81,3 +83,33 @@ def test_op11_equals_the_library(spark):
         assert (r["n_tokens"], r["text_bytes"]) == (len(ids), len((d["text"] or "").encode()))
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
+
+
+def test_word_memory_gives_what_was_learnt_also_when_full():
+    r, memory, asked = random.Random(2), words.WordMemory(max_words=60, width=2), []
+
+    def learn(some):
+        asked.extend(some)
+        rows = [[len(w), k] for w in some for k in range(len(w) % 4)]
+        return np.array(rows, np.int32).reshape(-1, 2), np.array([len(w) % 4 for w in some], np.int64)
+
+    for _ in range(30):
+        some = list(dict.fromkeys("".join(r.choice("abé ") for _ in range(r.randrange(0, 7))) for _ in range(r.randrange(0, 40))))
+        rows, sizes = memory.encode(pa.array(some, pa.large_string()), learn)
+        want_rows, want_sizes = learn(some)
+        del asked[len(asked) - len(some):]
+        assert sizes.tolist() == want_sizes.tolist() and rows.tolist() == want_rows.tolist() and len(memory.keys) <= 60
+    assert len(asked) > len(set(asked))  # it was full and started anew
+    big, few = words.WordMemory(width=2), ["a", "b", "a" * 50]
+    for _ in range(2):
+        asked.clear()
+        big.encode(pa.array(few, pa.large_string()), learn)
+    assert asked == []
+
+
+def test_words_differ_by_bytes_and_length():
+    some = ["", "a", "aa", "ab", "ba", "\x00", "\x00\x00", "abc" * 9, "abc" * 10] + [f"w{k}" for k in range(20_000)]
+    for h in words.WordMemory().hashes(pa.array(some, pa.large_string())):
+        assert len(set(h.tolist())) == len(some)
+    part = pa.array(["x", *some, "y"], pa.large_string()).slice(1, len(some))
+    assert [h.tolist() for h in words.WordMemory().hashes(part)] == [h.tolist() for h in words.WordMemory().hashes(pa.array(some, pa.large_string()))]

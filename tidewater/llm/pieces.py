@@ -12,8 +12,9 @@ character and those before it are empty, as in the library's own offsets).
 
 Where the model merges by rank and none of its pieces holds an escaped space after
 another character, no piece can span the place before a run of escaped spaces.  Texts
-are cut at such places after about ``part_chars`` characters, which bounds what the
-library holds at once and is faster than long texts; else they are encoded whole.
+are then cut at such places, each distinct word of a slice is encoded once, and a bounded
+number of words is remembered; texts with runs are cut into parts of about
+``part_chars`` characters.  With other models texts are encoded whole.
 
 Defined results: null or empty text has no pieces but the end id, when that is asked
 for, and decodes to empty text; repeated rows are encoded alike and extra columns are
@@ -33,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .bpe import read_file
-from .common import list_of, map_arrow, slices
+from .common import lean, list_of, map_arrow, slices
+from .words import WordMemory, gather, split_at
 
 #: The escaped space, U+2581.
 SPACE = "▁"
@@ -130,14 +132,14 @@ class Normaliser:
     def __call__(self, data: bytes) -> tuple[bytes, np.ndarray]:
         """Normalised bytes, and for each of them and the end the byte of ``data``."""
         if not data:
-            return b"", np.zeros(1, np.int64)
+            return b"", np.zeros(1, np.int32)
         if self.simple:
             norm = data.replace(b" ", self.space)
             width = np.where(np.frombuffer(data, np.uint8) == 32, 3, 1)
-            at = np.repeat(np.arange(len(data)), width)
+            at = np.repeat(np.arange(len(data), dtype=np.int32), width)
             if self.prefix:
-                return self.space + norm, np.concatenate([np.zeros(3, np.int64), at, [len(data)]])
-            return norm, np.append(at, len(data))
+                return self.space + norm, np.concatenate([np.zeros(3, np.int32), at, np.array([len(data)], np.int32)])
+            return norm, np.append(at, np.int32(len(data)))
         return self._general(data)
 
     def prefixes(self, data: bytes):
@@ -207,13 +209,13 @@ class Normaliser:
         if self.prefix and self.suffix:
             space()
         at.append(consumed)
-        return bytes(out), np.array(at, np.int64)
+        return bytes(out), np.array(at, np.int32)
 
 
 class PieceEncoder:
-    """Pieces of texts by one model."""
+    """Pieces of texts by one model; at most ``max_words`` words are remembered."""
 
-    def __init__(self, model: bytes, part_chars: int = 100):
+    def __init__(self, model: bytes, part_chars: int = 100, max_words: int = 1 << 18):
         from sentencepiece import SentencePieceProcessor
 
         kinds, names, spec, trainer = [], [], b"", b""
@@ -238,7 +240,7 @@ class PieceEncoder:
         self.unknown = int(np.flatnonzero(kinds == UNKNOWN)[0]) if (kinds == UNKNOWN).any() else -1
         self.by_word = (options.get(3, 1) == BPE_MODEL and self.normalise.escape
                         and not any(SPACE in n.lstrip(SPACE) for n in names))
-        self.part_chars = part_chars
+        self.part_chars, self.memory = part_chars, WordMemory(max_words, 2)
 
     def parts(self, text: str):
         """A normalised text, cut before runs of escaped spaces."""
@@ -263,29 +265,48 @@ class PieceEncoder:
             size = np.where(spelled, np.where(np.append(inside[1:], False), 0, place - lead + 1), size)
         return size
 
-    def unnormalised(self, parts: list[str]):
-        """Ids of all parts, their lengths, and the number of ids of each part."""
+    def learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The (id, length) pairs of all parts, without normalisation, and the number for each."""
         lists = self.core.encode(parts, num_threads=1)
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter(itertools.chain.from_iterable(lists), np.int32, counts.sum())
+        ids = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(counts.sum()))
         sizes = self.lengths(ids)
         if self.unknown >= 0 and (ids == self.unknown).any():  # their length is not that of their name
             seen = [self.core.encode(p, return_type="proto").pieces for p in parts]
+            ids, counts = np.array([p.id for s in seen for p in s], np.int32), np.array([len(s) for s in seen])
             sizes = np.array([p.end - p.begin for s in seen for p in s], np.int64)
-        return ids, sizes, counts
+        return np.stack([ids, sizes], axis=1).astype(np.int32), counts
+
+    def pairs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The (id, length) pairs of normalised texts, and their number for each text."""
+        odd = [k for k, x in enumerate(texts) if not self.by_word or SPACE + SPACE in x]
+        plain = list(texts)
+        for k in odd:
+            plain[k] = ""
+        words, picked, starts = split_at(plain, SPACE)
+        rows, sizes = self.memory.encode(words, lambda fresh: self.learn([SPACE + w for w in fresh]))
+        # the first word of a text has no space before it; odd texts stand in its place as a whole
+        firsts = words.take(pa.array(picked[starts[:-1]])).to_pylist()
+        lone = {w: k for k, w in enumerate(dict.fromkeys(firsts))}
+        cut = [list(self.parts(texts[k])) for k in odd]
+        more_rows, more = self.learn([*lone, *itertools.chain.from_iterable(cut)])
+        bounds = np.concatenate([np.arange(len(lone)), len(lone) + np.cumsum([0] + [len(ps) for ps in cut])[:-1]]).astype(np.int64)
+        whole = np.concatenate([[0], np.cumsum(more)])
+        own = np.array([lone[w] for w in firsts], np.int64)
+        own[odd] = np.arange(len(odd)) + len(lone)
+        picked[starts[:-1]] = own + len(words)
+        sizes = np.concatenate([sizes, np.diff(whole[np.append(bounds, len(more))])])
+        pairs = np.concatenate([rows, more_rows])[gather(np.cumsum(sizes) - sizes, sizes, picked)]
+        return pairs, np.add.reduceat(sizes[picked], starts[:-1])
 
     def encode(self, texts: list[str], add_end: bool = True):
         """For each text its ids, begins and ends (int32 arrays)."""
-        places, parts, n_parts = [], [], []
-        for text in texts:
-            norm, at = self.normalise(text.encode("utf-8"))
-            places.append(at)
-            parts += self.parts(norm.decode("utf-8"))
-            n_parts.append(len(parts))
-        ids, sizes, counts = self.unnormalised(parts)
-        bounds = np.concatenate([[0], np.cumsum(counts)])[[0, *n_parts]].tolist()
+        norms = [self.normalise(t.encode("utf-8")) for t in texts]
+        pairs, counts = self.pairs([n.decode("utf-8") for n, _ in norms])
+        ids, sizes = pairs[:, 0], pairs[:, 1]
+        bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
         end = np.array([self.end_id], np.int32) if add_end else np.empty(0, np.int32)
-        for at, a, b in zip(places, bounds, bounds[1:]):
+        for (_, at), a, b in zip(norms, bounds, bounds[1:]):
             stops = at[np.concatenate([[0], np.cumsum(sizes[a:b])])].astype(np.int32)
             last = np.full(len(end), at[-1], np.int32)
             yield np.concatenate([ids[a:b], end]), np.concatenate([stops[:-1], last]), np.concatenate([stops[1:], last])
@@ -297,6 +318,11 @@ def _encoder(model: bytes) -> PieceEncoder:
     return PieceEncoder(model)
 
 
+def forget() -> None:
+    """Drop what this worker process remembers."""
+    _encoder.cache_clear()
+
+
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", add_end: bool = True, ids_col: str = "ids",
            begins_col: str = "begins", ends_col: str = "ends", slice_bytes: int = 1 << 20) -> DataFrame:
     """Replace ``text_col`` by the ids of its pieces and their first and last byte offsets
@@ -317,7 +343,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", add_end: bo
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + lists, names + new)
 
-    return map_arrow(docs, [*names, text_col], run, schema)
+    return map_arrow(docs, [*names, text_col], lean(run, "pieces"), schema)
 
 
 def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", out_col: str = "decoded", slice_ids: int = 1 << 18) -> DataFrame:
@@ -341,4 +367,4 @@ def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", out_col: s
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(sp.decode(lists), pa.string())], names + [out_col])
                 at = stop
 
-    return map_arrow(encoded, names, run, schema)
+    return map_arrow(encoded, names, lean(run, "pieces"), schema)
