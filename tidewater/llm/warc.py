@@ -58,14 +58,13 @@ def plan_records(pages: DataFrame, id_col: str, payload_col: str, url_col: str)
 
 
 def chunk_rows(records: DataFrame, chunk_bytes: int) -> DataFrame:
-    """One row per chunk, a record's chunks together and in order; a revisit has one empty chunk."""
-    size = F.when(F.col("refers_to").isNull(), F.octet_length("payload")).otherwise(0)
-    last = F.greatest(F.ceil(size / chunk_bytes) - 1, F.lit(0)).cast("int")
-    cut = F.when(F.col("refers_to").isNull(),
-                 F.substring("payload", (F.col("chunk_no") * chunk_bytes + 1).cast("int"), F.lit(chunk_bytes))).otherwise(F.lit(b""))
-    return (records.select(F.col("id").cast("string").alias("id"), "url", "sha1", "refers_to", "payload",
-                           F.octet_length("payload").cast("long").alias("n_bytes"), F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
-            .select("id", "url", "sha1", "refers_to", "n_bytes", "chunk_no", cut.alias("chunk")))
+    """One row per chunk, a record's chunks together and in order; a revisit has one empty
+    chunk.  The payload is cut before its pieces become rows, so no row holds it whole."""
+    last = F.greatest(F.ceil(F.octet_length("payload") / chunk_bytes) - 1, F.lit(0)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring("payload", k * chunk_bytes + 1, F.lit(chunk_bytes)))
+    cut = F.when(F.col("refers_to").isNull(), pieces).otherwise(F.array(F.lit(b"")))
+    return records.select(F.col("id").cast("string").alias("id"), "url", "sha1", "refers_to",
+                          F.octet_length("payload").cast("long").alias("n_bytes"), F.posexplode(cut).alias("chunk_no", "chunk"))
 
 
 def _header(row: dict, date: str) -> bytes:
