@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import list_of, slices
+from .common import list_of, map_arrow, slices
 
 #: A cut is safe between a word character and white space, and between a letter
 #: and a punctuation mark: the pattern joins white space or an apostrophe only to
@@ -52,6 +52,11 @@ def _encoding(data: bytes, pattern: str):
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=load_ranks(data), special_tokens={})
 
 
+def forget() -> None:
+    """Drop what this worker process remembers."""
+    _encoding.cache_clear()
+
+
 def encode_text(encoding, text: str, part_chars: int = 1 << 16) -> list[int]:
     if len(text) <= part_chars:
         return encoding.encode_ordinary(text)
@@ -86,7 +91,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [list_of(flat, sizes, pa.int32())], names + [out_col])
 
-    return docs.select(*names, text_col).mapInArrow(run, schema)
+    return map_arrow(docs, [*names, text_col], run, schema)
 
 
 def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids",
@@ -106,4 +111,4 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, ids_col: str = "ids
                 out = [enc.decode_bytes(ids) if ids else b"" for ids in part.column(ids_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(out, pa.binary())], names + [out_col])
 
-    return encoded.select(*names).mapInArrow(run, schema)
+    return map_arrow(encoded, names, run, schema)
