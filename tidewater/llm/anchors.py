@@ -188,7 +188,7 @@ def assign(points, begin, end, left, right, radius, total, book):
 class Blocks:
     """Blocks of rows with a tree for each part position, one stored row each."""
 
-    def __init__(self, dim: int, parts: int, scale: int, block_rows: int = 2048, leaf: int = 24):
+    def __init__(self, dim: int, parts: int, scale: int, block_rows: int = 2048, leaf: int = 48):
         self.dim, self.parts, self.scale, self.block_rows, self.leaf = dim, parts, scale, block_rows, leaf
         self.width = dim // parts
         self.limit = min(1 << 30, math.isqrt((1 << 62) // dim) // 2)
