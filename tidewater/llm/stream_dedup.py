@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh_path, may_hold, stored
 
+#: A digest held by one row in so many is hot: its rows are dealt over several tasks before any join.
+HOT = 1024
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -67,6 +69,7 @@ def update_state(spark: SparkSession, path: str, checkpoint: str, schema, id_col
                 "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
                 "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
                 "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store reserves some MB of disk
+                "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # else the stores of all partitions stay in memory after the stream
                 "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
     with _conf(spark, settings):
         query = (counted.writeStream.outputMode("update").format("noop").queryName("exact_dedup")
@@ -85,6 +88,16 @@ def _salted(df: DataFrame, by, n, rows_per_salt: int) -> DataFrame:
     return df.withColumn("salt", F.pmod(F.xxhash64(by), F.ceil(n / rows_per_salt)))
 
 
+def _with_state(rows: DataFrame, state: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` (own, digest, ...) with what the state holds for their digest.  Before they
+    meet, the rows of a hot digest are dealt over its salts and its state is copied to each."""
+    dealt = (rows.join(F.broadcast(hot), "digest", "left")
+             .withColumn("salt", F.pmod(F.xxhash64("own"), F.coalesce("salts", F.lit(1)))).drop("salts"))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1))
+    held = state.join(F.broadcast(hot), "digest", "left").withColumn("salt", copies).drop("salts")
+    return dealt.join(held, ["digest", "salt"]).drop("salt")
+
+
 def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, id_col: str = "doc_id",
                 text_col: str = "text", digest=sha256_text, max_bytes_per_batch: int = 1 << 40,
                 rows_per_salt: int = 1024) -> DataFrame:
@@ -97,17 +110,20 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, i
     update_state(spark, path, checkpoint, files.schema, id_col, text_col, digest, max_bytes_per_batch)
     state = stored(read_state(spark, checkpoint), "dedup_digests")
     repeated = state.filter("n > 1")
-    n_repeated = repeated.count()
+    total, n_repeated = state.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 1)).first()
+    # digests of at least one in ``HOT`` of all rows, so ``HOT`` of them at most
+    hot = (state.filter((F.col("n") * HOT >= total) & (F.col("n") > rows_per_salt))
+           .select("digest", F.ceil(F.col("n") / rows_per_salt).alias("salts")))
 
     # every row with what the state holds for its digest
     rows = _rows(files, id_col, text_col, digest).withColumnRenamed("keep", "own").drop("text")
-    joined = rows.join(state, "digest")
+    joined = _with_state(rows, state, hot)
     if not n_repeated:
         return _result(joined.select("own", "digest", "keep", "n"))
 
     # hits and their kept rows, with texts; a hot digest is split by a salt
     texts = _rows(files, id_col, text_col, digest).withColumnRenamed("keep", "own")
-    hits = stored(may_hold(texts, repeated, "digest", n_repeated).join(repeated, "digest"), "dedup_hits")
+    hits = stored(_with_state(may_hold(texts, repeated, "digest", n_repeated), repeated, hot), "dedup_hits")
     held = (hits.filter(F.col("own").eqNullSafe(F.col("keep")))
             .select("digest", F.col("text").alias("held"),
                     F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / rows_per_salt) - 1)).alias("salt")))
