@@ -338,24 +338,52 @@ def test_jaccard_join_edges(spark, edge):
 
 def test_multi_index_recall_and_edges(spark):
     vec = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
-    odd = spark.createDataFrame([(1_000_000, None), (1_000_020, [0.0] * 64), (1_000_040, [float("nan")] * 64), (1_000_060, [1.0])], "vec_id long, embedding array<float>")
-    entries = imi.usable(vec.unionByName(odd).unionByName(vec.limit(3)))
-    got = imi.search(entries, F.col("vec_id") % 20 == 0, k=20).collect()
-    rows = {r.vec_id: np.array(r.vec) for r in entries.collect() if len(r.vec) == 64}
-    hits = 0
-    for q in [i for i in rows if i % 20 == 0]:
-        best = sorted(((-float(rows[q] @ v), i) for i, v in rows.items() if i != q))[:20]
-        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
-        assert [m[0] for m in mine] == list(range(1, 21))
-        assert [m[1] for m in mine] == [m[1] for m in sorted(mine, key=lambda m: (-m[2], m[1]))]
-        assert all(abs(m[2] - float(rows[q] @ rows[m[1]])) < 1e-12 for m in mine)
-        hits += len({m[1] for m in mine} & {i for _, i in best})
-    assert hits >= 0.9 * len(got)
+    odd = spark.createDataFrame([(1_000_000, None), (1_000_020, [0.0] * 64), (1_000_040, [float("nan")] * 64), (1_000_060, [1.0]), (None, [1.0] * 64)],
+                                "vec_id long, embedding array<float>")
+    # rows that repeat an id, one of them a query's, are rows of their own; other columns may have any name
+    frame = vec.unionByName(odd).unionByName(vec.filter("vec_id in (0, 3)")).withColumn("vec", F.lit("clash")).withColumn("row", F.lit(1)).withColumn("c1", F.lit(2))
+    entries = imi.usable(frame)
+    rows = [(r.row, r.vec_id, np.array(r.vec)) for r in entries.collect()]
+    assert len(rows) == vec.count() + 2 and len({r[0] for r in rows}) == len(rows)
+    for options in ({}, {"block_entries": 16, "batch_queries": 3, "centroids": 5}, {"visit": 1.0}):
+        got = imi.search(entries, F.col("vec_id") % 20 == 0, k=20, **options).collect()
+        hits, mine = 0, {}
+        for r in got:
+            mine.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+        for q in {i for _, i, _ in rows if i % 20 == 0}:
+            own = [(n, v) for n, i, v in rows if i == q]
+            best = [sorted((-float((v * x).sum()), i) for m, i, x in rows if m != n)[:20] for n, v in own]
+            some = sorted(mine[q], key=lambda m: m[0])
+            assert [m[0] for m in some] == sorted(list(range(1, 21)) * len(own))
+            if len(own) == 1:
+                assert [m[1] for m in some] == [m[1] for m in sorted(some, key=lambda m: (-m[2], m[1]))]
+            scores = {i: float((own[0][1] * x).sum()) for _, i, x in rows}
+            assert all(abs(m[2] - scores[m[1]]) < 1e-12 for m in some)
+            hits += len({m[1] for m in some} & {i for _, i in best[0]}) * len(own)
+            if options.get("visit") == 1.0:
+                assert sorted(m[1] for m in some) == sorted(i for b in best for _, i in b)
+        assert hits >= (0.75 if "centroids" in options else 0.9) * len(got)  # five centroids a half are few
     assert imi.search(entries.limit(0), F.col("vec_id") % 20 == 0).count() == 0
-    few = imi.search(entries.orderBy("vec_id").limit(5), F.col("vec_id") % 20 == 0, k=20)
+    few = imi.search(entries.orderBy("vec_id", "row").limit(5), F.col("vec_id") == 1, k=20)
     assert few.count() == 4
 
 
+def test_multi_index_leaves_out_far_cells_of_clustered_rows_and_loses_nothing(spark):
+    g = np.random.default_rng(1)
+    centres = 10 * g.normal(size=(12, 8))
+    v = centres[g.integers(0, 12, 3000)] + 0.1 * g.normal(size=(3000, 8))
+    v[5:25] = v[4]  # equal vectors: ties by id
+    entries = imi.usable(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>"))
+    index, _ = imi.build(entries)
+    queries = v[::300]
+    cells = [len(index.walk(q, 3000, t)) for q, t in zip(queries, index.least(queries, 20))]
+    assert max(cells) < (index.counts > 0).sum() / 2  # though asked for all rows
+    got = imi.search(entries, F.col("vec_id") % 300 == 0, k=20, visit=1.0).collect()
+    for q in range(0, 3000, 300):
+        want = sorted((-float((v[q] * x).sum()), i) for i, x in enumerate(v) if i != q)[:20]
+        assert [(r.vec_id) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [i for _, i in want]
+
+
 def test_pipeline_against_its_parts(spark):
     out = corpus_pipeline.run(spark, SF).toPandas()
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 
 import numpy as np
@@ -42,11 +44,37 @@ def map_arrow(df: DataFrame, names: list[str], run, schema) -> DataFrame:
     return plain.mapInArrow(lambda batches: run(b.rename_columns(names) for b in batches), schema)
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run, keep: str = ""):
+    """``run`` for ``mapInArrow`` in a worker that may have served other operators: what
+    their modules remember is dropped first (but for module ``keep``), and what ``run``
+    freed is given back at the end."""
+    def wrapped(batches):
+        for name in ("bpe", "packing", "pieces"):
+            module = sys.modules.get(f"{__package__}.{name}")
+            if module is not None and name != keep:
+                module.forget()
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
 def or_empty(name: str):
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
     """Consecutive (start, list of str) pieces of a text column; each piece holds
     about ``max_bytes`` of UTF-8 at most (or one longer text).  Nulls read as ''."""
     col = batch.column(column)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import list_of, may_hold, slices, stored
+from .common import lean, list_of, may_hold, slices, stored
 from .graph import components
 
 U = np.uint64
@@ -194,7 +194,7 @@ def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, n: int, sampl
             for _, texts in slices(batch, text_col):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(texts, hasher, n)).view(np.int64))], ["token"])
 
-    found = rows.mapInArrow(run, "token long").groupBy("token").count().filter(F.col("count") >= at_least).select("token").toArrow()
+    found = rows.mapInArrow(lean(run), "token long").groupBy("token").count().filter(F.col("count") >= at_least).select("token").toArrow()
     return np.sort(found["token"].to_numpy().astype(np.int64).view(U))
 
 
@@ -211,7 +211,7 @@ def _described(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame
                     [batch.column(id_col).slice(at, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_hash(s) for s in sets], pa.int64())], schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def _keyed(docs: DataFrame, text_col: str, n: int, num: int, den: int, frequent: np.ndarray, few: int) -> DataFrame:
@@ -247,7 +247,7 @@ def _keyed(docs: DataFrame, text_col: str, n: int, num: int, den: int, frequent:
                     [pa.array(nodes), pa.array([k for _, k in found], pa.int64()), pa.array(n_heavy, pa.int64()),
                      list_of(keys[by], np.bincount(owner, minlength=len(nodes)), pa.int64())], ["node", "need", "n_heavy", "keys"])
 
-    return docs.select(text_col).mapInArrow(run, "node long, need long, n_heavy long, keys array<long>")
+    return docs.select(text_col).mapInArrow(lean(run), "node long, need long, n_heavy long, keys array<long>")
 
 
 def _near(keyed: DataFrame, few: int) -> DataFrame:
@@ -289,7 +289,7 @@ def _tokens(rows: DataFrame, text_col: str, n: int) -> DataFrame:
                     flat = np.concatenate(kept).view(np.int64)
                     yield pa.RecordBatch.from_arrays(cols + [list_of(flat, np.array([len(s) for s in kept]), pa.int64())], names + ["tokens"])
 
-    return rows.select("comp", "blocks", "block", "node", text_col).mapInArrow(run, "comp long, blocks int, block int, node long, tokens array<long>")
+    return rows.select("comp", "blocks", "block", "node", text_col).mapInArrow(lean(run), "comp long, blocks int, block int, node long, tokens array<long>")
 
 
 class TokenGroups:
@@ -415,7 +415,7 @@ def _compare(units: DataFrame, num: int, den: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
 
     return (units.repartition("comp", "b1", "b2").sortWithinPartitions("comp", "b1", "b2")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(lean(run), "a long, b long"))
 
 
 def join(docs: DataFrame, num: int = 80, den: int = 100, n: int = 5, block_docs: int = 256, block_tokens: int = 1 << 20,

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import read_file, safe_parts
-from .common import slices, stored
+from .common import lean, slices, stored
 from .words import WordMemory, gather, split_at
 
 IDS = np.dtype("<u4")
@@ -43,7 +43,7 @@ class WordEncoder:
     encoded from space to space, and words not seen before are encoded many at a time:
     each starts with a space, and only its first token can."""
 
-    def __init__(self, tok, max_words: int = 1 << 20, batch: int = 4096):
+    def __init__(self, tok, max_words: int = 1 << 19, batch: int = 4096):
         self.tok, self.batch = tok, batch
         names = tok.get_vocab()
         self.spaced = np.zeros(max(names.values(), default=0) + 1, bool)
@@ -104,6 +104,11 @@ def _encoder(data: bytes) -> WordEncoder:
     return WordEncoder(tok)
 
 
+def forget() -> None:
+    """Drop what this worker process remembers."""
+    _encoder.cache_clear()
+
+
 class Window:
     """An open sequence: pieces (doc key, start, ids) in order."""
 
@@ -273,7 +278,7 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 1024, end_id: int
 
     crc = F.crc32("ids").alias("ids_crc32") if keep_ids else "ids_crc32"
     columns = [id_col, "start", "length", crc, "doc_tokens", "sequence_id", "offset"] + (["ids"] if keep_ids else [])
-    table = stored(docs.select(id_col, text_col).mapInArrow(first, schema), "packed")
+    table = stored(docs.select(id_col, text_col).mapInArrow(lean(first, "packing"), schema), "packed")
     out = [table.filter("done").select(*columns)]
     groups = 1 + (table.agg(F.max("task")).first()[0] or 0)
     round_no = 0
@@ -282,7 +287,7 @@ def pack(docs: DataFrame, tokenizer_file: str, seq_len: int = 1024, end_id: int
         groups = -(-groups // merge_fan)
         left = (table.filter("not done").withColumn("task", F.floor(F.col("task") / merge_fan).cast("long"))
                 .repartitionByRange(groups, "task").sortWithinPartitions("task", "sequence_id", "offset"))
-        table = stored(left.mapInArrow(merge(round_no, groups == 1), schema), "packed")
+        table = stored(left.mapInArrow(lean(merge(round_no, groups == 1), "packing"), schema), "packed")
         out.append(table.filter("done").select(*columns))
         if groups == 1:
             break

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import lean, slices
 
 WIDTH, STEP, PAD = 8, 2, 256
 BLOCK, PER_CHUNK, HOP = 64, 4, 3   # a chunk is 4 blocks of 64 bytes, the next starts 3 blocks on
@@ -211,4 +211,4 @@ def score(docs: DataFrame, model: ByteCNN, text_col: str = "text", out_col: str
                 got = net.scores([x.encode("utf-8") for x in texts])
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(names))] + [pa.array(got, pa.float64())], names + [out_col])
 
-    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, T.StructType(keep + [T.StructField(out_col, T.DoubleType())]))
+    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(lean(run), T.StructType(keep + [T.StructField(out_col, T.DoubleType())]))

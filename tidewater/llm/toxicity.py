@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import lean, slices
 
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -199,4 +199,4 @@ def score(docs: DataFrame, model: Classifier, text_col: str = "text", out_col: s
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(names))]
                                                  + [pa.array([c.score(x) for x in texts], pa.float64())], names + [out_col])
 
-    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, T.StructType(keep + [T.StructField(out_col, T.DoubleType())]))
+    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(lean(run), T.StructType(keep + [T.StructField(out_col, T.DoubleType())]))
