@@ -70,7 +70,7 @@ def test_range_anti_join_matches_brute_force(spark):
     pts = spark.createDataFrame([(i, rnd.randint(0, 500)) for i in range(400)], "id long, p long")
     ivs = spark.createDataFrame([(lo, lo + rnd.randint(1, 40)) for lo in rnd.sample(range(500), 30)],
                                 "lo long, hi long")
-    got = {r["id"] for r in range_anti_join(pts, ivs, "p", "lo", "hi", width=16).collect()}
+    got = {r["id"] for r in range_anti_join(pts, ivs, "p", "lo", "hi").collect()}
     iv = [(r["lo"], r["hi"]) for r in ivs.collect()]
     exp = {r["id"] for r in pts.collect() if not any(lo <= r["p"] < hi for lo, hi in iv)}
     assert got == exp

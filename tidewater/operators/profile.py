@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 PARTITION_KEY_TYPES = ("int", "bigint", "smallint", "tinyint", "timestamp", "timestamp_ntz", "date")
 MB = 1024 * 1024
 
+ESTIMATE_ERROR = 0.02  # relative standard error of the approximate counts
+
 # Size tiers (GB) and the staging format chosen per tier.
 SMALL_LIMIT_GB = 1
 LARGE_LIMIT_GB = 100
@@ -22,7 +24,7 @@ TIER_PATHS = {"small": "local", "medium": "spark", "large": "spark-autoscaled"}
 
 
 def _distinct_with_null(c: str, exact: bool) -> Column:
-    base = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), 0.02)
+    base = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), ESTIMATE_ERROR)
     return (base + F.max(F.col(c).isNull().cast("int"))).cast("long")
 
 
@@ -100,15 +102,16 @@ def suggest_partition_keys(df: DataFrame, lo: int = 10, hi: int = 1000,
     """Q2: integer/time columns with lo..hi distinct values (NULL counts as a value),
     with the distinct count and its share of rows (%, 2 places).
 
-    One approximate pass over all candidates; the exact count is taken only
-    for columns whose estimate is near the window (two aggregations, never
+    One approximate pass over all candidates; the exact count is taken only for columns
+    whose estimate is within four standard errors of the window (two aggregations, never
     one job per column)."""
     cands = [c for c, t in df.dtypes if t in types]
     spark = df.sparkSession
     if not cands:
         return spark.createDataFrame([], "column_name string, distinct_count long, distinct_pct double")
     est = df.agg(*[_distinct_with_null(c, False).alias(c) for c in cands]).first().asDict()
-    near = [c for c in cands if lo * 0.8 <= est[c] <= hi * 1.25]
+    slack = 4 * ESTIMATE_ERROR
+    near = [c for c in cands if lo * (1 - slack) - 1 <= est[c] <= hi * (1 + slack) + 1]
     if not near:
         return spark.createDataFrame([], "column_name string, distinct_count long, distinct_pct double")
     wide = df.agg(F.count(F.lit(1)).alias("_rows"),

@@ -18,7 +18,7 @@ from ..functions.columns import first_word
 from ..plans.ordinal import ROWS_PER_BUCKET, ordinal_within
 from ..plans.range_join import range_anti_join
 from .features import row_ids
-from .relational import pair_successors
+from .relational import pair_successors, profile_groups
 
 MERGE_SEPARATOR = " MERGED QUERY "
 
@@ -209,11 +209,7 @@ def same_row_updates(log: DataFrame) -> DataFrame:
 def profile_queries(log: DataFrame, long_threshold: float = 10.0) -> DataFrame:
     """L9 (A14): by statement kind: count, average time, failure rate, long-running
     and failed counts."""
-    return log.groupBy(statement_kind("query_text").alias("kind")).agg(
-        F.count(F.lit(1)).alias("n_queries"), F.avg("execution_time").alias("avg_time"),
-        F.avg((F.col("status") == "FAILED").cast("double")).alias("failure_rate"),
-        F.count_if(F.col("execution_time") > long_threshold).alias("n_long"),
-        F.count_if(F.col("status") == "FAILED").alias("n_failed"))
+    return profile_groups(log, statement_kind("query_text"), long_threshold=long_threshold).withColumnRenamed("grp", "kind")
 
 
 def run_groups(log: DataFrame, scope: str = "session_id", key: Column | None = None) -> DataFrame:

@@ -46,15 +46,14 @@ def compare_keys(left: DataFrame, right: DataFrame, cols: Sequence[str],
     ``All rows match`` row when there is no difference.  Key parts are separated by
     ``sep``, so ('ab', 'c') and ('a', 'bc') differ; ``sep=""`` gives the plain concatenation.
 
-    Distinct keys and one full outer join; the "no difference" row is decided
-    inside the plan from a count of the same result, not on the driver."""
-    lk = left.select(row_key_col(cols, sep).alias("Concatenated")).dropna().distinct() \
-        .withColumn("_tw_l", F.lit(True))
-    rk = right.select(row_key_col(cols, sep).alias("Concatenated")).distinct().withColumn("_tw_r", F.lit(True))
-    j = lk.join(rk, "Concatenated", "full_outer")
-    diff = j.filter(F.col("_tw_l").isNull() | F.col("_tw_r").isNull()).select(
-        F.when(F.col("_tw_l").isNull(), F.lit(right_label)).otherwise(F.lit(left_label)).alias("Source"),
-        "Concatenated")
+    Both sides are read once, by one aggregation over their union; the differences are
+    written, and the "no difference" row is decided inside the plan from their count."""
+    from ..session import materialise
+    sides = (left.select(row_key_col(cols, sep).alias("Concatenated"), F.lit(True).alias("_tw_l"))
+             .unionAll(right.select(row_key_col(cols, sep).alias("Concatenated"), F.lit(False).alias("_tw_l"))))
+    both = sides.groupBy("Concatenated").agg(F.bool_or("_tw_l").alias("_tw_any_l"), F.bool_and("_tw_l").alias("_tw_all_l"))
+    only = both.filter(F.col("_tw_any_l") == F.col("_tw_all_l"))
+    diff = materialise(only.select(F.when(F.col("_tw_all_l"), left_label).otherwise(right_label).alias("Source"), "Concatenated"), "key_differences")
     ok = (diff.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == 0)
           .select(F.lit("All rows match").alias("Source"),
                   F.lit(None).cast("string").alias("Concatenated")))

@@ -408,13 +408,14 @@ def accuracy(df: DataFrame, scores: str | Column, label: str) -> DataFrame:
 def profile_groups(log: DataFrame, group: str | Column, time_col: str = "execution_time",
                    status_col: str = "status", long_threshold: float = 10.0,
                    failed_value: str = "FAILED") -> DataFrame:
-    """Average time, failure rate and long-running count by group."""
+    """Average time, failure rate, long-running and failed counts by group."""
     g = F.col(group) if isinstance(group, str) else group
     return log.groupBy(g.alias("grp")).agg(
         F.count(F.lit(1)).alias("n_queries"),
         F.avg(time_col).alias("avg_time"),
         F.avg((F.col(status_col) == failed_value).cast("double")).alias("failure_rate"),
-        F.count_if(F.col(time_col) > long_threshold).alias("n_long"))
+        F.count_if(F.col(time_col) > long_threshold).alias("n_long"),
+        F.count_if(F.col(status_col) == failed_value).alias("n_failed"))
 
 
 def row_hash_col(cols: Sequence[str]) -> Column:

@@ -91,9 +91,14 @@ def source_keys(spark: SparkSession, url: str, props: Mapping[str, str], key_sql
 
 # ---------------------------------------------------------------- partitioning, copy, stage
 
-def repartition_by_key(df: DataFrame, n: int = 10, column: str | None = None) -> DataFrame:
-    """Hash repartition before a write (n defaults to 10; the config says 20)."""
-    return df.repartition(n, column) if column else df.repartition(n)
+def repartition_by_key(df: DataFrame, n: int | None = None, column: str | None = None) -> DataFrame:
+    """Hash repartition before a write, rows of a key together.
+
+    Partitions are sized from the bytes that arrive (``advisoryPartitionSizeInBytes``): small
+    ones are put together and those of a hot key are split, so ``n``, the number to start
+    from (by default that of the session), neither bounds the copy nor makes empty files."""
+    by = ([] if n is None else [n]) + ([column] if column else [])
+    return df.hint("rebalance", *by)
 
 
 def copy_append(df: DataFrame, path: str, fmt: str = "parquet", options: Mapping[str, str] | None = None,
@@ -113,10 +118,22 @@ def stage_parquet(df: DataFrame, base: str, run_id: str, table: str) -> str:
     return path
 
 
-def stage_with_format(df: DataFrame, path: str, fmt: str) -> str:
-    """S10 writer: the format name comes from ``profile.stage_format``."""
-    df.write.mode("overwrite").format(fmt).save(path)
-    return path
+#: Formats that need a package Spark does not bring, and what is written where it is absent.
+STAND_INS = {"iceberg": "parquet", "avro": "orc"}
+
+
+def stage_with_format(df: DataFrame, path: str, fmt: str, installed: Sequence[str] = ()) -> tuple[str, str]:
+    """S10 writer: the format name comes from ``profile.stage_format``.  Formats in
+    ``STAND_INS`` are written as such only if ``installed`` names them.  Returns the path
+    and the format that was written, for the reader."""
+    written = fmt if fmt in installed else STAND_INS.get(fmt, fmt)
+    df.write.mode("overwrite").format(written).save(path)
+    return path, written
+
+
+def read_staged(spark: SparkSession, path: str, written: str) -> DataFrame:
+    """A table staged by ``stage_with_format``."""
+    return spark.read.format(written).load(path)
 
 
 def warehouse_sink(df: DataFrame, fmt: str, options: Mapping[str, str], table: str | None = None) -> None:

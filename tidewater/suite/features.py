@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import features as FT
 from ..operators import tablefn
 from ..operators.relational import join_on_date
-from ..session import materialise
+from ..session import materialise, scratch_path
 from ..sources import derived
 from .common import rounded, tables, with_shapes
 
@@ -194,6 +196,19 @@ def _f7(spark, sf):
     return FT.key_violations(li, ["l_orderkey", "l_linenumber"])
 
 
+@reg("feature_table", with_shapes("""SELECT ticker, date, close, lag_5_days, ROUND(std_dev, 6) AS std_dev,
+  ROUND(CASE WHEN std_dev = 0 OR std_dev IS NULL OR lag_5_days IS NULL THEN NULL ELSE (close - lag_5_days) / std_dev END, 6) AS z_score
+  FROM (SELECT ticker, date, close, LAG(close, 5) OVER (PARTITION BY ticker ORDER BY date) AS lag_5_days,
+        STDDEV_SAMP(close) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS std_dev FROM stock)""", "stock"))
+def _f7_table(spark, sf):
+    """Created from the rows before 1995, replaced by all, read back."""
+    path = scratch_path(spark, f"feature_table/{uuid.uuid4().hex}")
+    stock = derived.stock(spark, sf).select("ticker", "date", "close")
+    for rows in (stock.filter(F.year("date") < 1995), stock):
+        table = FT.feature_table(FT.lag_zscore(rows, "close", 5, 5, partition=["ticker"]), "stock_features", ["ticker", "date"], path)
+    return rounded(table)
+
+
 @reg("contamination_flags", with_shapes(f"""WITH z AS (SELECT ticker, date, ROUND(abs(z_score), 6) AS score FROM ({F4})),
   r AS (SELECT ticker, date, row_number() OVER (ORDER BY score DESC, ticker, date) AS rn,
         COUNT(*) OVER () AS n FROM z WHERE score IS NOT NULL)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_seconds_ntz
 from ..operators import migrate as M
+from ..operators import profile as P
 from ..operators import relational as R
 from ..session import scratch_path
 from ..sources import io
@@ -192,6 +193,59 @@ def _q16(spark, sf):
     return rounded(M.migration_report(st, log, "run_id", "run"))
 
 
+@reg("run_status_files", STATUS_CTE + """ SELECT t.user_id AS run_id, t.total_records, ROUND(t.total_size_mb, 6)
+  AS total_size_mb, 1 AS s3_upload_success, coalesce(d.n_parts, 0) AS n_partitions
+  FROM t LEFT JOIN d ON t.user_id = d.user_id""")
+def _s15_files(spark, sf):
+    """Status files as the tool that writes them lays them out: documents over several
+    lines, here up to 32 to a file."""
+    plain = spark.read.schema(io.RUN_STATUS_SCHEMA).json(_write_status(spark, sf, _run(spark, "status")))
+    doc = F.to_json(F.struct("*"), {"pretty": "true"})
+    group = F.floor(F.col("run_id") / 32)
+    text = plain.select(group.alias("g"), doc.alias("d")).groupBy("g").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("d"), ",\n"), F.lit("\n]")).alias("value"))
+    path = _run(spark, "status_files")
+    text.select("value", F.col("g").alias("file")).write.partitionBy("file").text(path)
+    st = io.run_status_scan(spark, path, multi_line=True)
+    return rounded(st.select("run_id", "total_records", "total_size_mb", "s3_upload_success",
+                             F.coalesce(F.size("partitions"), F.lit(0)).alias("n_partitions")))
+
+
+@reg("run_log_layouts", """SELECT date_trunc('millisecond', ts) AS ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'loader' END AS source, concat('event=', CAST(event_id AS VARCHAR)) AS message FROM events""")
+def _s16_layouts(spark, sf):
+    """Lines of all known layouts in one folder."""
+    ev, path = tables(spark, sf).events, _run(spark, "logs")
+    ts = F.date_format("ts", io.LOG_TS_FORMAT)
+    level = F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO")
+    message = F.concat(F.lit("event="), F.col("event_id").cast("string"))
+    layouts = [F.concat(ts, F.lit(" - "), level, F.lit(": "), message),
+               F.concat(ts, F.lit(" - loader - "), level, F.lit(" - "), message),
+               F.concat(ts, F.lit(" | loader | "), level, F.lit(" | "), message)]
+    which = F.pmod("event_id", F.lit(3))
+    line = F.when(which == 0, layouts[0]).when(which == 1, layouts[1]).otherwise(layouts[2])
+    ev.select(line.alias("value")).write.text(path)
+    return io.run_log_scan(spark, path)
+
+
+STAGED = ("nation", "customer", "orders", "lineitem")
+
+
+@reg("stage_formats", " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{f}' AS written, COUNT(*) AS n_rows FROM {t}"
+     for t, f in zip(STAGED, ("orc", "parquet", "parquet", "parquet"))))
+def _s10(spark, sf):
+    """Tables staged in the format chosen for their size (the first as a row-oriented one,
+    the last as if it were large), read back."""
+    t, out = tables(spark, sf), None
+    for name in STAGED:
+        df = getattr(t, name)
+        size = P.estimate_size_mb(df).first()["size_mb"] * (1e9 if name == "lineitem" else 1)
+        path, written = io.stage_with_format(df, _run(spark, f"staged_{name}"), P.stage_format(size, row_oriented=name == "nation"))
+        back = io.read_staged(spark, path, written).agg(F.count(F.lit(1)).alias("n_rows"))
+        row = back.select(F.lit(name).alias("table_name"), F.lit(written).alias("written"), "n_rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @reg("object_listing")
 def _s17(spark, sf):
     return io.object_listing(spark, sf, "*.parquet").select(

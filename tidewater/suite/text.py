@@ -50,6 +50,14 @@ def _t2(spark, sf):
     return TX.chunk_recursive(tables(spark, sf).documents, "doc_id", "text", 2000, 300)
 
 
+@reg("chunk_recursive_whole", "SELECT doc_id, md5(text) AS text_md5, TRUE AS fits FROM documents WHERE length(text) > 0")
+def _t2_whole(spark, sf):
+    """Chunks without overlap, put together again: the whole text, and none too long."""
+    c = TX.chunk_recursive(tables(spark, sf).documents.select("doc_id", "text"), "doc_id", "text", 2000, 0)
+    per = c.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("chunk_no", "chunk"))).alias("c"), F.max(F.length("chunk")).alias("longest"))
+    return per.select("doc_id", F.md5(F.array_join("c.chunk", "")).alias("text_md5"), (F.col("longest") <= 2000).alias("fits"))
+
+
 @reg("chunk_table", f"""SELECT concat(source, '/', CAST(doc_id AS VARCHAR)) AS relative_path,
   concat('file:///', source, '/', CAST(doc_id AS VARCHAR)) AS file_url,
   concat(source, '/', CAST(doc_id AS VARCHAR), ': ', chunk) AS chunk, lang AS language
@@ -76,6 +84,19 @@ def _t5(spark, sf):
                     F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm_sq"))
 
 
+@reg("embed_hashed_terms", r"""SELECT doc_id, len(list_distinct(regexp_extract_all(lower(text), '\p{L}+'))) AS n_distinct, TRUE AS fits
+  FROM documents WHERE text IS NOT NULL""")
+def _t5_terms(spark, sf):
+    """Vectors have unit length, or no terms, and no more terms than the text."""
+    from pyspark.ml.functions import vector_to_array
+    docs = tables(spark, sf).documents.select("doc_id", "text").filter("text is not null")
+    arr = vector_to_array("features")
+    d = TX.embed_hashed(docs, "text", 1 << 12).select(
+        "doc_id", F.size(F.array_distinct(TX.tokens("text"))).cast("long").alias("n_distinct"), F.size(F.filter(arr, lambda x: x != 0)).alias("n"),
+        F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x).alias("norm"))
+    return d.select("doc_id", "n_distinct", ((F.col("n") <= F.col("n_distinct")) & ((F.col("n") == 0) | (F.abs(F.col("norm") - 1) < 1e-9))).alias("fits"))
+
+
 KNN_SQL = """WITH u AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
   c AS (SELECT label, d, AVG(CAST(x AS DOUBLE)) AS m FROM u GROUP BY label, d),
   q AS (SELECT label AS query_id, list(m ORDER BY d) AS qv FROM c GROUP BY label),
