@@ -14,6 +14,8 @@ others; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ def _small_batches(spark: SparkSession) -> None:
     """Batches are bounded by records only, unless a session says otherwise: 10 000 long
     texts at once are held by the executor and by its Python worker."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(spark.conf.get(key, "0")) <= BATCH_BYTES:
+    if int(re.sub(r"\D", "", spark.conf.get(key)) or 0) > BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
