@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import quoted, stored
 
 #: Words of urls to block and of urls to allow, from which the labels of the first pass come.
 SEEDS = {
@@ -180,9 +180,9 @@ def join_skewed(rows: DataFrame, table: DataFrame, key: str, total: int) -> Data
 
 
 def named(pages: DataFrame, url_col: str, keep=()) -> DataFrame:
-    """Stored rows of ``keep`` with __row (a number of their own), host, path and __names."""
+    """Stored rows of ``keep`` (as __keep0, ...) with __row (a number of their own), host, path and __names."""
     host, path = host_and_path(F.col(url_col))
-    parts = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("__row"))
+    parts = pages.select(*[F.col(quoted(c)).alias(f"__keep{n}") for n, c in enumerate(keep)], host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("__row"))
 
     def run(batches):
         for batch in batches:
@@ -290,5 +290,5 @@ def judge(pages: DataFrame, rules, model: Model, url_col: str = "url") -> DataFr
     scored = rows.join(sums, "__row", "left").withColumn("log_odds", F.lit(model.prior) + F.coalesce(F.col("__sum"), F.lit(0.0)))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     by_words = F.when(F.col("log_odds") > 0, F.lit("block")).otherwise(F.lit("allow"))
-    scored = scored.drop("__row", "__sum").select(*[f"`{c}`" for c in keep], "host", "path", "words", "log_odds")
+    scored = scored.drop("__row", "__sum").select(*[F.col(f"__keep{n}").alias(c) for n, c in enumerate(keep)], "host", "path", "words", "log_odds")
     return scored.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, by_words))
