@@ -36,6 +36,12 @@ def file_stream(spark: SparkSession, folder: str, file_glob: str, schema, fmt: s
     return r.load(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """Stream over a stored table, which is one file or a folder of files.  The last
+    character is given as a pattern: it finds either, and a file alone is no source folder."""
+    return spark.readStream.schema(schema).format(fmt).load(f"{path[:-1]}[{path[-1]}]")
+
+
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not timestamp_ntz); the session zone is UTC."""
     return df.withColumn(col, F.col(col).cast("timestamp"))

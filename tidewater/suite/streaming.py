@@ -28,7 +28,7 @@ def reg(name, oracle=None):
 
 def _stream(spark, sf, name):
     schema = tables(spark, sf).__getattr__(name).schema
-    return X.file_stream(spark, sf, f"{name}.parquet", schema)
+    return X.table_stream(spark, f"{sf.rstrip('/')}/{name}.parquet", schema)
 
 
 @reg("progress_stream", """WITH t AS (SELECT user_id AS run_id, COUNT(*) AS total_records FROM events GROUP BY 1),
