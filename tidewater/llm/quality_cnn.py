@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean, slices
+from .common import give_back, lean, slices
 
 WIDTH, STEP, PAD = 8, 2, 256
 BLOCK, PER_CHUNK, HOP = 64, 4, 3   # a chunk is 4 blocks of 64 bytes, the next starts 3 blocks on
@@ -193,7 +193,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train, m
 def train(docs: DataFrame, labels: DataFrame, label_col: str, train_rows, max_rows: int = 2500, epochs: int = 8,
           **names) -> ByteCNN:
     sample = labelled_sample(docs, labels, label_col, train_rows, max_rows, **names)
-    return ByteCNN().fit([t.encode("utf-8") for t, _ in sample], [y for _, y in sample], epochs)
+    model = ByteCNN().fit([t.encode("utf-8") for t, _ in sample], [y for _, y in sample], epochs)
+    del sample
+    give_back()  # the driver goes on with other operators
+    return model
 
 
 def score(docs: DataFrame, model: ByteCNN, text_col: str = "text", out_col: str = "score") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean, slices
+from .common import give_back, lean, slices
 
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -181,7 +181,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train, m
 def train(docs: DataFrame, labels: DataFrame, label_col: str, train_rows, max_rows: int = 2500, penalty: float = 1.0,
           **names) -> Classifier:
     sample = labelled_sample(docs, labels, label_col, train_rows, max_rows, **names)
-    return Classifier().fit([t for t, _ in sample], [y for _, y in sample], penalty=penalty)
+    model = Classifier().fit([t for t, _ in sample], [y for _, y in sample], penalty=penalty)
+    del sample
+    give_back()  # the driver goes on with other operators
+    return model
 
 
 def score(docs: DataFrame, model: Classifier, text_col: str = "text", out_col: str = "score") -> DataFrame:
