@@ -336,6 +336,28 @@ def test_jaccard_join_edges(spark, edge):
     assert jaccard_join.keep_one(edge).columns == edge.columns
 
 
+def _passages(g):
+    """Documents of words of their own and four of thirty passages, with some near copies."""
+    texts = [[f"p{q}x{w}" for q in g.choice(30, 4, replace=False) for w in range(6)] + [f"w{w}" for w in g.integers(0, 1 << 30, 40)] for _ in range(220)]
+    return [" ".join(t) for t in texts] + [" ".join(t[:-1]) for t in texts[:20]]
+
+
+def _beginnings(g):
+    """The first words of one text, from few to many: neighbours link, far ones do not."""
+    words = [f"w{w}" for w in g.integers(0, 1 << 30, 200)]
+    return [" ".join(words[:k]) for k in range(12, 200)]
+
+
+@pytest.mark.parametrize("texts,few,most", [(_passages, 2, 500), (_beginnings, 16, 4500)])
+def test_jaccard_join_compares_sets_with_few_blocks(spark, monkeypatch, texts, few, most):
+    rows, copies, compare = list(enumerate(texts(np.random.default_rng(8)))), [], jaccard_join._compare
+    monkeypatch.setattr(jaccard_join, "_compare", lambda units, *a: copies.append(units.count()) or compare(units, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_join.join(docs, num=80, n=3, block_docs=4, at_least=10_000, few=few)
+    assert {r.id: (r.size, r.component) for r in got.collect()} == _brute_join(rows, 80, 3)
+    assert copies[0] < most  # each set with each block of its cluster: over 7000
+
+
 def test_multi_index_recall_and_edges(spark):
     vec = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
     odd = spark.createDataFrame([(1_000_000, None), (1_000_020, [0.0] * 64), (1_000_040, [float("nan")] * 64), (1_000_060, [1.0]), (None, [1.0] * 64)],

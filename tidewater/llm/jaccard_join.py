@@ -28,6 +28,8 @@ smallest unless there is no other.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -198,27 +200,27 @@ def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, n: int, sampl
     return np.sort(found["token"].to_numpy().astype(np.int64).view(U))
 
 
-def _described(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """Per document: id, set size and node."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("size", T.LongType()), T.StructField("node", T.LongType())])
+def _described(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
+    """Per document: id, set size, node, and how many keys a partner of the node shares at least."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *[T.StructField(c, T.LongType()) for c in ("size", "node", "need")]])
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
-        hasher = WordHasher()
+        hasher, parts = WordHasher(), Parts(num, den, shared.value)
         for batch in batches:
             for at, texts in slices(batch, text_col):
                 sets = shingle_sets(texts, hasher, n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(id_col).slice(at, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_hash(s) for s in sets], pa.int64())], schema.names)
+                     pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([parts.keys(s)[1] for s in sets], pa.int64())], schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def _keyed(docs: DataFrame, text_col: str, n: int, num: int, den: int, frequent: np.ndarray, few: int) -> DataFrame:
-    """Per node of a slice: its keys, of which the first ``n_heavy`` are heavy, and how
-    many a partner shares.  A key of more than ``few`` nodes in the same slice stays with
-    one of them, as heavy, and each of the others gets a heavy key in common with that
-    node alone."""
+    """Per node of a slice: its keys.  A key of more than ``few`` nodes in the same slice is
+    heavy and stays with one of them.  Each node that holds such a key, that one too, has a
+    number for the key in this slice.  Both stand in front, with the heavy key in ``whole``."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
@@ -227,54 +229,64 @@ def _keyed(docs: DataFrame, text_col: str, n: int, num: int, den: int, frequent:
             for _, texts in slices(batch, text_col):
                 sets = shingle_sets(texts, hasher, n)
                 nodes, at = np.unique(np.array([set_hash(s) for s in sets], np.int64), return_index=True)
-                found = [parts.keys(sets[k]) for k in at]
-                flat, of = np.concatenate([k for k, _ in found]), np.repeat(np.arange(len(nodes)), [len(k) for k, _ in found])
+                found = [parts.keys(sets[k])[0] for k in at]
+                flat, of = np.concatenate(found), np.repeat(np.arange(len(nodes)), [len(k) for k in found])
                 order = np.lexsort((of, flat))
                 flat, of = flat[order], of[order]
                 head = np.flatnonzero(np.diff(flat, prepend=flat[:1] - 1))
                 count = np.diff(np.append(head, len(flat)))
                 many = np.repeat(count > few, count)
-                leader = np.repeat(head, count)
-                is_head = leader == np.arange(len(flat))
-                plain, heavy, rest = (np.flatnonzero(x) for x in (~many, many & is_head, many & ~is_head))
-                edges = np.unique(np.stack([of[rest], of[leader[rest]]]), axis=1)
-                between = mix(mix(nodes[edges[0]].view(U)) + nodes[edges[1]].view(U)).view(np.int64)
-                keys = np.concatenate([flat[heavy], between, between, flat[plain]])
-                owner = np.concatenate([of[heavy], edges[0], edges[1], of[plain]])
-                n_heavy = np.bincount(owner[:len(owner) - len(plain)], minlength=len(nodes))
-                by = np.argsort(owner, kind="stable")  # a node's heavy keys stay first
+                is_head = np.zeros(len(flat), bool)
+                is_head[head] = True
+                first, held, plain = (np.flatnonzero(x) for x in (many & is_head, many, ~many))
+                here = mix(mix(flat[held].view(U)) + nodes[of[np.repeat(head, count)[held]]].view(U)).view(np.int64)
+                keys, whole = np.concatenate([flat[first], here, flat[plain]]), np.concatenate([flat[first], flat[held]])
+                owner = np.concatenate([of[first], of[held], of[plain]])
+                by = np.argsort(owner, kind="stable")  # the heavy ones of a node stay in front
+                of_whole = owner[:len(whole)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes), pa.array([k for _, k in found], pa.int64()), pa.array(n_heavy, pa.int64()),
-                     list_of(keys[by], np.bincount(owner, minlength=len(nodes)), pa.int64())], ["node", "need", "n_heavy", "keys"])
-
-    return docs.select(text_col).mapInArrow(lean(run), "node long, need long, n_heavy long, keys array<long>")
-
-
-def _near(keyed: DataFrame, few: int) -> DataFrame:
-    """Edges (a, b) between nodes that may link.  Nodes that share a key of more than
-    ``few`` nodes, or a heavy one, are joined to one of them.  Of the others, two nodes are
-    joined if they share as many keys as partners must: all of these keys are then held
-    by few nodes.  The keys are read once and not stored; a heavy one travels as a need
-    below zero."""
-    rows = (keyed.select("node", "need", "n_heavy", F.posexplode("keys").alias("at", "key"))
-            .select("key", "node", F.when(F.col("at") < F.col("n_heavy"), -F.col("need")).otherwise(F.col("need")).alias("need")))
+                    [pa.array(nodes), list_of(whole[np.argsort(of_whole, kind="stable")], np.bincount(of_whole, minlength=len(nodes)), pa.int64()),
+                     list_of(keys[by], np.bincount(owner, minlength=len(nodes)), pa.int64())], ["node", "whole", "keys"])
+
+    return docs.select(text_col).mapInArrow(lean(run), "node long, whole array<long>, keys array<long>")
+
+
+def _near(keyed: DataFrame, needs: DataFrame, few: int) -> DataFrame:
+    """Edges (a, b) between nodes that may link; ``needs``: (node, need) of all nodes.  A key
+    of more than ``few`` rows, or one in ``whole``, is heavy for all nodes that hold it.
+    Partners share at least as many keys as both need, and no more heavy ones than either
+    holds.  So nodes that hold as many heavy keys as they need are joined to one of them for
+    each such key, and any two nodes if they share enough of the other keys to make up what
+    their heavy ones may lack: all of these keys are held by few nodes.  The keys are read
+    once and not stored."""
+    rows = (keyed.select("node", "whole", F.posexplode("keys").alias("at", "key"))
+            .select("key", F.get("whole", F.col("at")).alias("whole"), "node"))
     same = Window.partitionBy("key")
     shared = (rows.withColumn("first", F.min("node").over(same)).withColumn("last", F.max("node").over(same))
-              .withColumn("held", F.sum(F.when(F.col("need") < 0, few + 1).otherwise(1)).over(same)).filter("first <> last")
-              .select("key", "node", F.abs("need").alias("need"), "first", "held"))
+              .withColumn("held", F.sum(F.when(F.col("whole").isNull(), 1).otherwise(few + 1)).over(same)).filter("first <> last")
+              .select("key", "whole", "node", (F.col("held") > few).alias("heavy")))
     shared = stored(shared, "jaccard_shared")
-    stars = shared.filter(F.col("held") > few).filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    lists = (shared.filter(F.col("held") <= few).groupBy("key")
-             .agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("node", "need")))).alias("all")))
+    heavy = shared.filter("heavy").select("key", F.coalesce("whole", "key").alias("whole"), "node")
+    counts = heavy.select("whole", "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n_heavy"))
+    counts = stored(needs.join(counts, "node", "left").select("node", "need", F.coalesce("n_heavy", F.lit(0)).alias("n_heavy")), "jaccard_heavy")
+
+    # those that may link by heavy keys alone: first the nodes of a slice, then one of each slice
+    able = heavy.join(counts.filter("n_heavy >= need").select("node"), "node").select("key", "whole", "node").distinct()
+    able = able.withColumn("first", F.min("node").over(same))
+    tops = able.select("whole", F.col("first").alias("node")).distinct().withColumn("first", F.min("node").over(Window.partitionBy("whole")))
+    stars = able.select("node", "first").unionAll(tops.select("node", "first")).filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+
+    lists = (shared.filter("not heavy").join(counts, "node").groupBy("key")
+             .agg(F.array_distinct(F.sort_array(F.collect_list(F.struct("node", "need", "n_heavy")))).alias("all")))
     pairs = (lists.select("all", F.posexplode("all").alias("at", "x"))
              .select("x", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("y"))
              .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-             .agg(F.count(F.lit(1)).alias("n"), F.max(F.greatest("x.need", "y.need")).alias("need")).filter("n >= need"))
+             .agg(F.count(F.lit(1)).alias("n"), F.max(F.greatest("x.need", "y.need") - F.least("x.n_heavy", "y.n_heavy")).alias("need")).filter("n >= need"))
     return stars.unionAll(pairs.select("a", "b"))
 
 
 def _tokens(rows: DataFrame, text_col: str, n: int) -> DataFrame:
-    """(comp, blocks, block, node, tokens) for rows whose text still has the expected node."""
+    """(comp, cls, blocks, up, down, block, node, tokens) for rows whose text still has the expected node."""
     def run(batches):
         hasher = WordHasher()
         for batch in batches:
@@ -284,12 +296,41 @@ def _tokens(rows: DataFrame, text_col: str, n: int) -> DataFrame:
                 ok = np.array([set_hash(s) for s in sets], np.int64) == part.column("node").to_numpy()
                 kept = [s for s, k in zip(sets, ok) if k]
                 if kept:
-                    names = ["comp", "blocks", "block", "node"]
                     cols = [part.column(c).filter(pa.array(ok)) for c in names]
                     flat = np.concatenate(kept).view(np.int64)
                     yield pa.RecordBatch.from_arrays(cols + [list_of(flat, np.array([len(s) for s in kept]), pa.int64())], names + ["tokens"])
 
-    return rows.select("comp", "blocks", "block", "node", text_col).mapInArrow(lean(run), "comp long, blocks int, block int, node long, tokens array<long>")
+    names = ["comp", "cls", "blocks", "up", "down", "block", "node"]
+    return rows.select(*names, text_col).mapInArrow(lean(run), "comp long, cls int, blocks int, up int, down int, block int, node long, tokens array<long>")
+
+
+def _dealt(chosen: DataFrame, num: int, den: int, block_docs: int, block_tokens: int) -> DataFrame:
+    """The rows of ``chosen`` (comp, node, size, ...) with the block of each in its cluster.
+    The sets of a cluster of more than one block are dealt by classes of size first: sets
+    that link are in the same class or in two that follow each other.  ``blocks``, ``up``
+    and ``down`` are the blocks of a set's own class, the next larger and the next smaller."""
+    step = math.log(den / num * 1.01)  # a little wide, so that rounding parts no pair by two classes
+    sized = chosen.withColumn("cls", F.floor(F.log("size") / step).cast("int"))
+    per = sized.groupBy("comp", "cls").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("tokens"))
+    whole, inside = Window.partitionBy("comp"), Window.partitionBy("comp").orderBy("cls")
+    one = (F.sum("docs").over(whole) <= block_docs) & (F.sum("tokens").over(whole) <= block_tokens)
+    per = per.withColumn("one", one).withColumn("blocks", F.when(F.col("one"), 1).otherwise(
+        F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("tokens") / block_tokens))).cast("int"))
+    for name, shift in (("up", 1), ("down", -1)):
+        beside = ~F.col("one") & (F.lead("cls", shift).over(inside) == F.col("cls") + shift)
+        per = per.withColumn(name, F.when(beside, F.lead("blocks", shift).over(inside)).otherwise(0))
+    per = per.select("comp", "cls", "one", "blocks", "up", "down")
+    return (sized.join(per, ["comp", "cls"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("cls", F.when(F.col("one"), 0).otherwise(F.col("cls"))).drop("one"))
+
+
+def _units(sets: DataFrame) -> DataFrame:
+    """Each set once for every block that its own is compared with: those of its own class
+    (``apart`` 0) and of the two beside it (``apart`` 1, under the smaller class)."""
+    beside = [("blocks", "cls as cls, 0 as apart, least(block, o) as b1, greatest(block, o) as b2, cast(block > o as int) as side"),
+              ("up", "cls as cls, 1 as apart, block as b1, o as b2, 0 as side"), ("down", "cls - 1 as cls, 1 as apart, o as b1, block as b2, 1 as side")]
+    units = F.expr("concat(" + ", ".join(f"transform(slice(sequence(0, {n}), 1, {n}), o -> struct({unit}))" for n, unit in beside) + ")")
+    return sets.select("comp", "node", "tokens", F.explode(units).alias("unit")).select("comp", "unit.*", "node", "tokens")
 
 
 class TokenGroups:
@@ -381,7 +422,9 @@ def forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 
 def _compare(units: DataFrame, num: int, den: int) -> DataFrame:
-    """Spanning links (a, b) of each unit (comp, b1, b2); rows of a unit come together."""
+    """Spanning links (a, b) of each unit (comp, cls, apart, b1, b2); rows of a unit come together."""
+    key_cols = ["comp", "cls", "apart", "b1", "b2"]
+
     def unit(nodes, sides, sets):
         left = [k for k, s in enumerate(sides) if s == 0]
         right = [k for k, s in enumerate(sides) if s == 1]
@@ -396,7 +439,7 @@ def _compare(units: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches):
         now, nodes, sides, sets, out = None, [], [], [], []
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("comp", "b1", "b2"))))
+            keys = list(zip(*(batch.column(c).to_pylist() for c in key_cols)))
             ids, side = batch.column("node").to_pylist(), batch.column("side").to_pylist()
             col = batch.column("tokens")
             values, offsets = col.values.to_numpy(), col.offsets.to_numpy()
@@ -414,7 +457,7 @@ def _compare(units: DataFrame, num: int, den: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
 
-    return (units.repartition("comp", "b1", "b2").sortWithinPartitions("comp", "b1", "b2")
+    return (units.repartition(*key_cols).sortWithinPartitions(*key_cols)
             .mapInArrow(lean(run), "a long, b long"))
 
 
@@ -423,26 +466,21 @@ def join(docs: DataFrame, num: int = 80, den: int = 100, n: int = 5, block_docs:
     """One row per document: id, size (of its set), node (equal sets), component (smallest
     id that its links reach, itself included)."""
     frequent = frequent_shingles(docs, id_col, text_col, n, sample_docs, at_least)
-    described = stored(_described(docs, id_col, text_col, n), "jaccard_sets")
+    described = stored(_described(docs, id_col, text_col, n, num, den, frequent), "jaccard_sets")
+    nodes = stored(described.groupBy("node").agg(F.min("id").alias("id"), F.max("size").alias("size"), F.max("need").alias("need")), "jaccard_nodes")
 
     # clusters: nodes that may link, whether directly or through others
-    edges = _near(_keyed(docs, text_col, n, num, den, frequent, few), few)
+    edges = _near(_keyed(docs, text_col, n, num, den, frequent, few), nodes.select("node", "need"), few)
     cluster = components(edges).withColumnRenamed("root", "comp")
 
     # one document of each clustered node, dealt into blocks of bounded size
-    nodes = stored(described.groupBy("node").agg(F.min("id").alias("id"), F.max("size").alias("size")), "jaccard_nodes")
     chosen = stored(nodes.join(cluster, "node"), "jaccard_chosen")
-    per = chosen.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_docs),
-                                                F.ceil(F.sum("size") / block_tokens)).cast("int").alias("blocks"))
-    chosen = (chosen.join(per, "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-              .select("comp", "blocks", "block", "node", F.col("id").alias("chosen_id")))
+    chosen = (_dealt(chosen, num, den, block_docs, block_tokens)
+              .select("comp", "cls", "blocks", "up", "down", "block", "node", F.col("id").alias("chosen_id")))
     texts = docs.select(F.col(id_col).alias("chosen_id"), F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
     texts = may_hold(texts, chosen, "chosen_id", chosen.count())  # only these texts are shuffled
     sets = _tokens(texts.join(chosen, texts["chosen_id"].eqNullSafe(chosen["chosen_id"])), text_col, n)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    units = (sets.select("*", other).withColumn("b1", F.least("block", "other")).withColumn("b2", F.greatest("block", "other"))
-             .withColumn("side", (F.col("block") > F.col("other")).cast("int")).select("comp", "b1", "b2", "side", "node", "tokens"))
-    linked = components(_compare(units, num, den))
+    linked = components(_compare(_units(sets), num, den))
 
     # the smallest id of each class
     classes = stored(nodes.filter("size > 0").join(linked, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "jaccard_classes")
