@@ -260,7 +260,7 @@ def _near(keyed: DataFrame, needs: DataFrame, few: int) -> DataFrame:
     their heavy ones may lack: all of these keys are held by few nodes.  The keys are read
     once and not stored."""
     rows = (keyed.select("node", "whole", F.posexplode("keys").alias("at", "key"))
-            .select("key", F.get("whole", F.col("at")).alias("whole"), "node"))
+            .select("key", "node", F.get("whole", F.col("at")).alias("whole")))  # mostly null: at the end it packs best
     same = Window.partitionBy("key")
     shared = (rows.withColumn("first", F.min("node").over(same)).withColumn("last", F.max("node").over(same))
               .withColumn("held", F.sum(F.when(F.col("whole").isNull(), 1).otherwise(few + 1)).over(same)).filter("first <> last")
