@@ -7,11 +7,12 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
 2. Similar documents are brought into clusters.  A linked pair of at most r
    shingles each differs in at most k of them, so if shingles are dealt by hash into
    more than k parts, some are the same in both, and how many at least is known.  Nodes
-   that share as many parts are joined, and so are all nodes that share a part held by
-   many (within a task first, so such a part crosses the network a few times per task);
-   the connected components are the clusters: no link leaves a cluster.
-3. A cluster is cut into blocks of bounded size, and each pair of its blocks is one
-   unit of work.  There the documents of one block are partitioned into small groups
+   that share as many parts are joined.  Parts held by many are not counted pair by pair:
+   nodes that hold as many of these as they need are joined to one of them (within a task
+   first, so such a part crosses the network a few times per task), and for others they
+   count as shared.  The connected components are the clusters: no link leaves a cluster.
+3. A cluster is cut into blocks of bounded size and, if it has several, of like set
+   sizes; each pair of its blocks that may hold a link is one unit of work.  There the documents of one block are partitioned into small groups
    of similar ones, the union of each group's tokens is a column of the token-group
    matrix, and the product of a query's tokens with it bounds the overlap of the
    query with any member.  Only groups whose bound reaches the overlap that the
